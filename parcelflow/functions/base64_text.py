@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
 
-
-def decode(text: Column) -> Column:
-    """Base64 text to bytes, NULL when it is not Base64.
+def decode(text: str) -> str:
+    """SQL for Base64 text to bytes, NULL when it is not Base64.
 
     Line breaks, blanks, the URL-safe letters and missing padding are accepted.
+    Nearly all text is plain Base64; only what fails is tidied and tried again.
     """
-    plain = F.rtrim(F.translate(text, "-_ \t\r\n", "+/"), F.lit("="))
-    padded = F.rpad(plain, (F.ceil(F.length(plain) / 4) * 4).cast("int"), F.lit("="))
-    # Nearly all text is plain Base64; only what fails is tidied and tried again.
-    return F.coalesce(F.try_to_binary(text, F.lit("base64")), F.try_to_binary(padded, F.lit("base64")))
+    plain = rf"rtrim('=', translate({text}, '-_ \t\r\n', '+/'))"
+    padded = f"rpad({plain}, CAST(ceil(length({plain}) / 4) * 4 AS INT), '=')"
+    return f"coalesce(try_to_binary({text}, 'base64'), try_to_binary({padded}, 'base64'))"

@@ -1,4 +1,4 @@
-"""Envelope and registry-request fields."""
+"""Envelope and registry-request fields, mostly as SQL text (see `json_text`)."""
 
 from __future__ import annotations
 
@@ -17,16 +17,15 @@ REGISTRY_POST = "REGISTRY_POST"
 REGISTRY_RESPONSE = "REGISTRY_RESPONSE"
 DEVICE_ONBOARDING = "DEVICE_ONBOARDING"
 
-# The request fields that must be text; statusCode is the only number.
-TEXT_FIELDS = ("path", "verb", "txId", "deviceId", "header")
+# The request's fields; all are text but the status code.
 REQUEST_FIELDS = ("path", "verb", "statusCode", "payload", "txId", "deviceId", "header")
 
 
-def message_key(*position: Column) -> Column:
+def message_key() -> Column:
     """UUID-shaped id of a message's position on its topic, so that a replay repeats it."""
-    digest = F.md5(F.concat_ws("/", *position))
-    parts = [F.substring(digest, start, size) for start, size in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
-    return F.concat_ws("-", *parts)
+    return F.expr(
+        "regexp_replace(md5(concat_ws('/', topic, partition, offset)), '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '$1-$2-$3-$4-$5')"
+    )
 
 
 def create_date(clock: Column, pattern: str = ISO_MILLIS) -> Column:
@@ -34,82 +33,77 @@ def create_date(clock: Column, pattern: str = ISO_MILLIS) -> Column:
     return F.date_format(F.to_utc_timestamp(clock, F.current_timezone()), pattern)
 
 
-def message_id(identity: Column, sourceid: Column) -> Column:
-    return F.concat(identity, sourceid)
-
-
-def request_members(record: Column) -> Column:
+def request_members(record: str) -> str:
     """The request fields of a parsed record as VARIANTs, taken out in one step."""
     return J.members(record, REQUEST_FIELDS)
 
 
-def request_values(members: Column) -> dict[str, Column]:
-    """Type and value of every request field, by column name.
+def request_values(members: str) -> list[str]:
+    """Type and value of every request field, as columns ``req_*``.
 
     These must become columns of their own, not one struct: Catalyst sees
     through a struct and would read each field again wherever it is used.
     """
-    values = {}
+    values = []
     for name in REQUEST_FIELDS:
         read_as = "int" if name == "statusCode" else "string"
-        values[f"req_{name}_kind"] = F.schema_of_variant(members[name])
-        values[f"req_{name}"] = F.try_variant_get(members[name], "$", read_as)
+        values.append(f"schema_of_variant({members}.{name}) AS req_{name}_kind")
+        values.append(f"try_variant_get({members}.{name}, '$', '{read_as}') AS req_{name}")
     return values
 
 
 VALUE_COLUMNS = tuple(column for name in REQUEST_FIELDS for column in (f"req_{name}_kind", f"req_{name}"))
 
 
-def _request(**fields: Column) -> Column:
-    return F.struct(*[fields[name].alias(name) for name in REQUEST_FIELDS])
+def _request(fields: dict[str, str]) -> str:
+    return "named_struct(" + ", ".join(f"'{name}', {fields[name]}" for name in REQUEST_FIELDS) + ")"
+
 
+def _defaults() -> dict[str, str]:
+    return {name: "0" if name == "statusCode" else "''" for name in REQUEST_FIELDS}
 
-def remote_request(payload: Column) -> Column:
+
+def remote_request(payload: str) -> str:
     """Request from the value columns, '' or 0 for what the sender left out; `payload` is the re-serialised payload."""
-    fields = {name: F.coalesce(f"req_{name}", F.lit("")) for name in TEXT_FIELDS}
-    return _request(payload=payload, statusCode=F.coalesce("req_statusCode", F.lit(0)), **fields)
+    fields = {name: f"coalesce(req_{name}, {default})" for name, default in _defaults().items()}
+    return _request({**fields, "payload": payload})
 
 
-def remote_request_raw(payload: Column) -> Column:
+def remote_request_raw(payload: str) -> str:
     """Request of a payload that is not JSON: defaults, and the payload as it came."""
-    fields = {name: F.lit("") for name in TEXT_FIELDS}
-    return _request(payload=payload, statusCode=F.lit(0), **fields)
+    return _request({**_defaults(), "payload": payload})
 
 
-def remote_request_onboard(path: Column, payload: Column) -> Column:
+def remote_request_onboard(path: str, payload: str) -> str:
     """Request of a device that announces itself: path from the outer message, decoded payload."""
-    fields = {name: F.lit("") for name in TEXT_FIELDS if name != "path"}
-    return _request(
-        path=F.coalesce(path, F.lit("")), payload=F.coalesce(payload, F.lit("")), statusCode=F.lit(0), **fields
-    )
+    return _request({**_defaults(), "path": f"coalesce({path}, '')", "payload": f"coalesce({payload}, '')"})
 
 
-def strict_request() -> Column:
+def strict_request() -> str:
     """Request from the value columns exactly as sent; see `strict_problem` for what makes it invalid."""
-    return _request(**{name: F.col(f"req_{name}") for name in REQUEST_FIELDS})
-
-
-def _missing(name: str) -> Column:
-    kind = F.col(f"req_{name}_kind")
-    return kind.isNull() | (kind == J.NULL)
+    return _request({name: f"req_{name}" for name in REQUEST_FIELDS})
 
 
-def _ill_typed(name: str) -> Column:
+def _ill_typed(name: str) -> str:
     """For a field that is not missing."""
     if name == "statusCode":
-        return (F.col("req_statusCode_kind") != J.INTEGER) | F.col("req_statusCode").isNull()
-    return F.col(f"req_{name}_kind") != J.STRING
+        return f"(req_statusCode_kind <> '{J.INTEGER}' OR req_statusCode IS NULL)"
+    return f"req_{name}_kind <> '{J.STRING}'"
 
 
-def type_problem() -> Column:
+def type_problem() -> str:
     """First ill-typed field of a request built with defaults, or NULL; its payload may be anything."""
-    checked = [name for name in REQUEST_FIELDS if name != "payload"]
-    return F.coalesce(*[F.when(~_missing(name) & _ill_typed(name), f"{name} has the wrong type") for name in checked])
+    tests = [
+        f"WHEN NOT {J.missing(f'req_{name}_kind')} AND {_ill_typed(name)} THEN '{name} has the wrong type'"
+        for name in REQUEST_FIELDS if name != "payload"
+    ]
+    return f"CASE {' '.join(tests)} END"
 
 
-def strict_problem() -> Column:
+def strict_problem() -> str:
     """First missing or ill-typed field of a strict request, or NULL. Extra fields do not matter."""
-    return F.coalesce(*[
-        F.when(_missing(name), f"{name} is missing").when(_ill_typed(name), f"{name} has the wrong type")
+    tests = [
+        f"WHEN {J.missing(f'req_{name}_kind')} THEN '{name} is missing' WHEN {_ill_typed(name)} THEN '{name} has the wrong type'"
         for name in REQUEST_FIELDS
-    ])
+    ]
+    return f"CASE {' '.join(tests)} END"

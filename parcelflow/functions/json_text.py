@@ -1,83 +1,64 @@
-"""JSON text as columns.
+"""JSON text as SQL expressions.
 
 A parsed message is a VARIANT: one parse per message, typed members, and the
 parser is strict (no single quotes, no NaN). VARIANT sorts object keys, so text
 that must keep its key order is always taken from the text itself.
+
+The functions here take and return SQL text. A step of a job is then a few
+`selectExpr` lists instead of hundreds of column objects, which counts because
+every micro-batch builds its plan anew.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
-_JSON_BLANK = " \t\n\r\ufeff"
-
 # Type names as `schema_of_variant` prints them.
 STRING, INTEGER, NULL = "STRING", "BIGINT", "VOID"
 
 
-def utf8_text(value: Column) -> Column:
-    """Bytes as text; NULL when they are not UTF-8."""
-    return F.ltrim(F.try_validate_utf8(value.cast("string")), F.lit(_JSON_BLANK))
+def utf8_text(value: str) -> str:
+    """Bytes as text without blanks or a byte order mark in front; NULL when they are not UTF-8."""
+    return rf"trim(LEADING ' \t\n\r﻿' FROM try_validate_utf8(CAST({value} AS STRING)))"
 
 
-def parse_object(text: Column) -> Column:
+def parse_object(text: str) -> str:
     """Text starting with a JSON object as VARIANT; anything else is NULL."""
-    return F.when(text.startswith("{"), F.try_parse_json(text))
-
+    return f"CASE WHEN startswith({text}, '{{') THEN try_parse_json({text}) END"
 
-def _path(name: str) -> str:
-    return "$['" + name.replace("'", "\\'") + "']" if "." in name or " " in name else f"$.{name}"
 
+def member(parsed: str, name: str, read_as: str = "variant") -> str:
+    """A member; NULL when absent. Read as text, a member of another type is converted."""
+    return f"try_variant_get({parsed}, '$.{name}', '{read_as}')"
 
-def member(parsed: Column, name: str) -> Column:
-    """A member as VARIANT; NULL when absent."""
-    return F.try_variant_get(parsed, _path(name), "variant")
 
-
-def members(parsed: Column, names: tuple[str, ...]) -> Column:
+def members(parsed: str, names: tuple[str, ...]) -> str:
     """Several members as a struct of VARIANTs: one walk instead of one per member."""
-    fields = ",".join(f"`{name}`:variant" for name in names)
-    return F.try_variant_get(parsed, "$", f"struct<{fields}>")
-
-
-def kind(parsed: Column, name: str) -> Column:
-    """Type name of a member; NULL when absent, VOID when JSON null."""
-    return F.schema_of_variant(member(parsed, name))
+    fields = ",".join(f"{name}:variant" for name in names)
+    return f"try_variant_get({parsed}, '$', 'struct<{fields}>')"
 
 
-def string_member(parsed: Column, name: str) -> Column:
-    """A member as text. Non-text members are converted: check `kind` where it matters."""
-    return F.try_variant_get(parsed, _path(name), "string")
-
-
-def missing(kind_col: Column) -> Column:
+def missing(kind: str) -> str:
     """Absent and JSON null count alike."""
-    return F.coalesce(kind_col == NULL, F.lit(True))
-
-
-def is_kind(kind_col: Column, name: str) -> Column:
-    return F.coalesce(kind_col == name, F.lit(False))
-
-
-def nested(kind_col: Column) -> Column:
-    return kind_col.startswith("OBJECT") | kind_col.startswith("ARRAY")
+    return f"({kind} IS NULL OR {kind} = '{NULL}')"
 
 
-def compact(text: Column, parsed: Column) -> Column:
+def compact(text: str, parsed: str) -> str:
     """A parsed message as JSON text without blanks, keys in their order.
 
     Repeated keys are the one case where the text says more than the parsed
     message; the lengths then differ and the parsed form (last value) is used.
     """
-    ordered = F.get_json_object(text, "$")
-    plain = F.to_json(parsed)
-    return F.when(parsed.isNull(), None).when(F.length(ordered) == F.length(plain), ordered).otherwise(plain)
+    ordered, plain = f"get_json_object({text}, '$')", f"to_json({parsed})"
+    return (
+        f"CASE WHEN {parsed} IS NOT NULL THEN "
+        f"CASE WHEN length({ordered}) = length({plain}) THEN {ordered} ELSE {plain} END END"
+    )
 
 
-def json_of_member(text: Column, value: Column, kind_col: Column, name: str) -> Column:
+def json_of_member(text: str, value: str, kind: str, name: str) -> str:
     """A member written back as JSON: objects compact and in key order, strings quoted, absent or null ''.
 
-    `text` is the object's own text, `value` and `kind_col` the member as VARIANT and its type.
+    `text` is the object's own text, `value` and `kind` the member as VARIANT and its type.
     """
-    raw = F.from_json(text, f"`{name}` string").getField(name)
-    return F.when(missing(kind_col), "").when(nested(kind_col), raw).otherwise(F.to_json(value))
+    raw = f"from_json({text}, '`{name}` string').`{name}`"
+    nested = f"startswith({kind}, 'OBJECT') OR startswith({kind}, 'ARRAY')"
+    return f"CASE WHEN {missing(kind)} THEN '' WHEN {nested} THEN {raw} ELSE to_json({value}) END"

@@ -8,24 +8,21 @@ from ..functions import json_text as J
 from ..schemas import DEAD_LETTER, ENVELOPE, ERROR
 
 
-def problem(stage: str, exception: Column | str, cause: Column | str = "", trace: Column | str = "") -> Column:
-    """An error value; `stage` names the step that set the row aside."""
+def problem(stage: str, exception: str, cause: str, trace: str, quoted: bool = True) -> str:
+    """SQL of an error value; `stage` names the step that set the row aside.
 
-    def text(part: Column | str) -> Column:
-        return part if isinstance(part, Column) else F.lit(part)
-
-    return F.struct(
-        F.lit(stage).alias("stage"), text(exception).alias("exception"),
-        text(cause).alias("cause"), text(trace).alias("trace"),
-    )
+    With ``quoted=False`` the exception is an expression instead of a text.
+    """
+    message = f"'{exception}'" if quoted else exception
+    return f"named_struct('stage', '{stage}', 'exception', {message}, 'cause', '{cause}', 'trace', '{trace}')"
 
 
 def no_problem() -> Column:
     return F.lit(None).cast(ERROR)
 
 
-def evaluated_once(df: DataFrame, *columns: str | Column) -> DataFrame:
-    """The given columns, computed before any later filter.
+def evaluated_once(df: DataFrame) -> DataFrame:
+    """The same rows, with their columns computed before any later filter.
 
     Catalyst pushes a filter on a computed column below the projection and then
     computes the expression twice, once in the filter and once for the output;
@@ -34,11 +31,10 @@ def evaluated_once(df: DataFrame, *columns: str | Column) -> DataFrame:
 
     A generator also ends a stage of generated code. The JVM never compiles
     methods above 8000 bytes, so a long chain of projections runs several times
-    faster when it is cut into stages below that size.
+    faster when it is cut into stages below that size. Only names may stand
+    inside the generator: it evaluates without generated code.
     """
-    computed = df.select(*columns)
-    # Only names inside the generator: it evaluates without generated code.
-    return computed.select(F.explode(F.array(F.struct(*computed.columns))).alias("row")).select("row.*")
+    return df.select(F.explode(F.array(F.struct(*df.columns))).alias("row")).select("row.*")
 
 
 def split_errors(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -66,11 +62,8 @@ def security_check(df: DataFrame, predicate: Column | None = None) -> DataFrame:
     """
     if predicate is None:
         return df
-    refused = problem("SECURITY", "message refused by the security check")
-    return df.withColumn(
-        "error",
-        F.when(F.col("error").isNotNull(), F.col("error")).when(~F.coalesce(predicate, F.lit(False)), refused),
-    )
+    refused = F.expr(problem("SECURITY", "message refused by the security check", "not accepted", "security_check"))
+    return df.withColumn("error", F.coalesce("error", F.when(~F.coalesce(predicate, F.lit(False)), refused)))
 
 
 def error_reports(letters: DataFrame) -> DataFrame:
@@ -82,8 +75,8 @@ def error_reports(letters: DataFrame) -> DataFrame:
     """
     report = {"EXCEPTION": "exception", "EXCEPTION CAUSE": "cause", "EXCEPTION TRACE": "trace"}
     added = F.create_map(*[part for name, column in report.items() for part in (F.lit(name), F.col(column).cast("variant"))])
-    text = J.utf8_text(F.col("value"))
-    members = F.try_variant_get(J.parse_object(text), "$", "map<string,variant>")
+    parsed = J.parse_object(J.utf8_text("value"))
+    members = F.expr(f"try_variant_get({parsed}, '$', 'map<string,variant>')")
     raw = F.coalesce(F.try_validate_utf8(F.col("value").cast("string")), F.base64("value"))
     own = F.coalesce(
         F.map_filter(members, lambda name, _: ~name.isin(*report)),

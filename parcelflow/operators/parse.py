@@ -2,23 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions import base64_text, json_text as J
 from ..session import configure
-from .outcome import no_problem, problem
+from .outcome import problem
 
 
 def parse_json(df: DataFrame, col: str = "value") -> DataFrame:
     """Adds `text`, `msg` (VARIANT of a JSON object) and `error` for everything else."""
     configure(df.sparkSession)
-    parsed = df.withColumn("text", J.utf8_text(F.col(col))).withColumn("msg", J.parse_object(F.col("text")))
-    return parsed.withColumn(
-        "error",
-        F.when(
-            F.col("msg").isNull(),
-            problem("PARSE", "message is not a JSON object", "malformed input", "parse_json"),
-        ).otherwise(no_problem()),
+    bad = problem("PARSE", "message is not a JSON object", "malformed input", "parse_json")
+    return (
+        df.selectExpr("*", f"{J.utf8_text(col)} AS text")
+        .selectExpr("*", f"{J.parse_object('text')} AS msg")
+        .selectExpr("*", f"CASE WHEN msg IS NULL THEN {bad} END AS error")
     )
 
 
@@ -30,34 +28,33 @@ def to_json_text(df: DataFrame, cols: list[str] | None = None, name: str = "json
 
 def message_text(df: DataFrame, name: str = "json") -> DataFrame:
     """Adds a parsed message as compact JSON text; NULL where it did not parse."""
-    return df.withColumn(name, J.compact(F.col("text"), F.col("msg")))
+    return df.selectExpr("*", f"{J.compact('text', 'msg')} AS {name}")
 
 
-def decode_payload(df: DataFrame, text: Column | str, name: str = "inner") -> DataFrame:
+def decode_payload(df: DataFrame, text: str, name: str = "inner") -> DataFrame:
     """Base64 text to `<name>_text` and, when that is a JSON object, `<name>` as VARIANT."""
     configure(df.sparkSession)
-    source = F.col(text) if isinstance(text, str) else text
-    return df.withColumn(f"{name}_text", J.utf8_text(base64_text.decode(source))).withColumn(
-        name, J.parse_object(F.col(f"{name}_text"))
+    return df.selectExpr("*", f"{J.utf8_text(base64_text.decode(text))} AS {name}_text").selectExpr(
+        "*", f"{J.parse_object(f'{name}_text')} AS {name}"
     )
 
 
 def payload_text(df: DataFrame, text: str, member: str = "payload", name: str = "payload_text") -> DataFrame:
     """Adds one member of a JSON object written back as JSON ('' when absent or null)."""
     configure(df.sparkSession)
-    value = df.withColumn("_value", J.member(J.parse_object(F.col(text)), member))
-    return value.withColumn(
-        name, J.json_of_member(F.col(text), F.col("_value"), F.schema_of_variant("_value"), member)
-    ).drop("_value")
+    value = df.selectExpr("*", f"{J.member(f'({J.parse_object(text)})', member)} AS _value").selectExpr(
+        "*", "schema_of_variant(_value) AS _kind"
+    )
+    return value.selectExpr("*", f"{J.json_of_member(text, '_value', '_kind', member)} AS {name}").drop("_value", "_kind")
 
 
-# What a strict record accepts per field type: the JSON type and the value read from it.
+# What a strict record accepts per field type: the JSON types, read as that type.
 _STRICT_KINDS = {
-    "string": (("STRING",), "string"),
-    "int": (("BIGINT",), "int"),
-    "bigint": (("BIGINT",), "bigint"),
-    "boolean": (("BOOLEAN",), "boolean"),
-    "double": (("BIGINT", "DECIMAL", "DOUBLE"), "double"),
+    "string": ("STRING",),
+    "int": ("BIGINT",),
+    "bigint": ("BIGINT",),
+    "boolean": ("BOOLEAN",),
+    "double": ("BIGINT", "DECIMAL", "DOUBLE"),
 }
 
 
@@ -66,31 +63,25 @@ def strict_record(df: DataFrame, schema: T.StructType, msg: str = "msg", name: s
 
     JSON null counts as missing, members the schema does not name are ignored.
     """
-    record, problems = [], []
+    reads, tests = [], []
     for field in schema:
-        kinds, read_as = _STRICT_KINDS[field.dataType.simpleString()]
-        actual = F.col("_kinds")[field.name]
-        value = F.try_variant_get(F.col(msg), f"$.{field.name}", read_as)
-        typed = F.lit(False)
-        for accepted_kind in kinds:
-            typed = typed | actual.startswith(accepted_kind)
-        problems.append(
-            F.when(J.missing(actual), f"{field.name} is missing")
-            .when(~typed | value.isNull(), f"{field.name} has the wrong type")
+        read_as = field.dataType.simpleString()
+        kind, value = f"_{field.name}_kind", f"_{field.name}"
+        typed = " OR ".join(f"startswith({kind}, '{accepted}')" for accepted in _STRICT_KINDS[read_as])
+        reads += [f"schema_of_variant({J.member(msg, field.name)}) AS {kind}", f"{J.member(msg, field.name, read_as)} AS {value}"]
+        tests.append(
+            f"WHEN {J.missing(kind)} THEN '{field.name} is missing' "
+            f"WHEN NOT ({typed}) OR {value} IS NULL THEN '{field.name} has the wrong type'"
         )
-        record.append(value.alias(field.name))
-    kinds_of = F.struct(*[J.kind(F.col(msg), f.name).alias(f.name) for f in schema])
-    checked = df.withColumn("_kinds", kinds_of).withColumn(
-        "_problem", F.when(F.col("error").isNull(), F.coalesce(*problems))
-    )
+    record = "named_struct(" + ", ".join(f"'{f.name}', _{f.name}" for f in schema) + ")"
+    bad = problem("RECORD", "_problem", "message does not fit the record", "strict_record", quoted=False)
+    others = [column for column in df.columns if column != "error"]
     return (
-        checked.withColumn(name, F.when(F.col("error").isNull() & F.col("_problem").isNull(), F.struct(*record)))
-        .withColumn(
-            "error",
-            F.when(
-                F.col("_problem").isNotNull(),
-                problem("RECORD", F.col("_problem"), "message does not fit the record", "strict_record"),
-            ).otherwise(F.col("error")),
+        df.selectExpr("*", *reads)
+        .selectExpr("*", f"CASE WHEN error IS NULL THEN CASE {' '.join(tests)} END END AS _problem")
+        .selectExpr(
+            *others,
+            f"CASE WHEN error IS NULL AND _problem IS NULL THEN {record} END AS {name}",
+            f"coalesce(error, CASE WHEN _problem IS NOT NULL THEN {bad} END) AS error",
         )
-        .drop("_kinds", "_problem")
     )

@@ -72,8 +72,8 @@ def _search(text: Column, key: str, exact: bool) -> Column:
 
 def _with_hit(df: DataFrame, json_col: str, key: str, name: str, exact: bool) -> DataFrame:
     configure(df.sparkSession)
-    text = J.utf8_text(F.col(json_col))
-    whole = df.withColumn("_text", F.when(J.parse_object(text).isNotNull(), text))
+    text = J.utf8_text(json_col)
+    whole = df.selectExpr("*", f"CASE WHEN ({J.parse_object(text)}) IS NOT NULL THEN {text} END AS _text")
     return whole.withColumn(name, _search(F.col("_text"), key, exact))
 
 

@@ -39,14 +39,10 @@ ROUTES = (
 )
 
 
-def _case(routes: tuple[Route, ...], pick) -> Column:
-    """CASE over the route name; `pick(route)` gives each branch's value."""
-    expression = None
-    for route in routes:
-        test = F.col("route") == route.name
-        value = pick(route)
-        expression = F.when(test, value) if expression is None else expression.when(test, value)
-    return expression
+def _case(routes: tuple[Route, ...], pick) -> str:
+    """CASE over the route name; `pick(route)` gives each branch's SQL."""
+    branches = [f"WHEN '{r.name}' THEN {pick(r)}" for r in routes]
+    return f"CASE route {' '.join(branches)} END"
 
 
 def route(df: DataFrame, routes: tuple[Route, ...] = ROUTES, subscription: str | None = None) -> DataFrame:
@@ -64,44 +60,55 @@ def route(df: DataFrame, routes: tuple[Route, ...] = ROUTES, subscription: str |
 
 def envelope_defaults(
     df: DataFrame,
-    default_source: Column | str = "default",
+    default_source: str = "'default'",
     id_col: Column | None = None,
     clock_col: Column | None = None,
     createdate_format: str = E.ISO_MILLIS,
-    source: Column | None = None,
+    source: str = J.member("msg", "sourceid", "string"),
 ) -> DataFrame:
     """Adds `sourceid` (the message's, else the default), `messageid` and `createdate`.
 
-    `id_col` defaults to the message's position, so a replayed message keeps its
-    id; pass ``F.uuid()`` for random ones. `clock_col` defaults to now.
+    `default_source` and `source` are SQL. `id_col` defaults to the message's
+    position, so a replayed message keeps its id; pass ``F.uuid()`` for random
+    ones. `clock_col` defaults to now.
     """
-    identity = id_col if id_col is not None else E.message_key(F.col("topic"), F.col("partition"), F.col("offset"))
+    identity = id_col if id_col is not None else E.message_key()
     clock = clock_col if clock_col is not None else F.current_timestamp()
-    own = source if source is not None else J.string_member(F.col("msg"), "sourceid")
-    fallback = F.lit(default_source) if isinstance(default_source, str) else default_source
-    return (
-        df.withColumn("sourceid", F.coalesce(own, fallback))
-        .withColumn("messageid", E.message_id(identity, F.col("sourceid")))
-        .withColumn("createdate", E.create_date(clock, createdate_format))
-    )
+    return df.withColumn("sourceid", F.expr(f"coalesce({source}, {default_source})")).withColumns({
+        "messageid": F.concat(identity, F.col("sourceid")),
+        "createdate": E.create_date(clock, createdate_format),
+    })
 
 
 def remote_request(df: DataFrame, record: str = "inner", text: str = "inner_text", name: str = "request") -> DataFrame:
     """Adds the registry request of a decoded payload, '' or 0 for what it leaves out."""
-    read = df.withColumn("_members", E.request_members(F.col(record))).withColumns(E.request_values(F.col("_members")))
-    payload = J.json_of_member(F.col(text), F.col("_members.payload"), F.col("req_payload_kind"), "payload")
-    return read.withColumn(name, E.remote_request(payload)).drop("_members", *E.VALUE_COLUMNS)
+    payload = J.json_of_member(text, "_members.payload", "req_payload_kind", "payload")
+    return (
+        df.selectExpr("*", f"{E.request_members(record)} AS _members")
+        .selectExpr("*", *E.request_values("_members"))
+        .selectExpr("*", f"{E.remote_request(payload)} AS {name}")
+        .drop("_members", *E.VALUE_COLUMNS)
+    )
 
 
 def remote_request_raw(df: DataFrame, payload: str = "payload", name: str = "request") -> DataFrame:
     """Adds the registry request of a payload kept as it came."""
-    return df.withColumn(name, E.remote_request_raw(F.col(payload)))
+    return df.selectExpr("*", f"{E.remote_request_raw(payload)} AS {name}")
 
 
 def remote_request_onboard(df: DataFrame, path: str = "path", payload: str = "payload", name: str = "request") -> DataFrame:
     """Adds the registry request of an onboarding message: outer path, Base64-decoded payload text."""
-    decoded = F.make_valid_utf8(base64_text.decode(F.col(payload)).cast("string"))
-    return df.withColumn(name, E.remote_request_onboard(F.col(path), decoded))
+    return df.selectExpr("*", f"{E.remote_request_onboard(path, _as_text(base64_text.decode(payload)))} AS {name}")
+
+
+def _as_text(data: str) -> str:
+    return f"make_valid_utf8(CAST({data} AS STRING))"
+
+
+# Outer members any shape may need; only text values are valid.
+_OUTER = ("sourceid", "payload", "messagetype", "path")
+# Columns the second half no longer needs.
+_READ = {"text", "msg", "outer", "error", *[f"{name}_kind" for name in _OUTER]}
 
 
 def standardise(
@@ -118,113 +125,96 @@ def standardise(
     Message columns stay, so that the error report can show the message.
     """
     kept = [name for name in parsed.columns if name not in ("text", "msg", "error")]
-    device, onboard = F.col("shape") == "device", F.col("shape") == "onboard"
-    strict, passthrough = F.col("shape") == "strict", F.col("shape") == "passthrough"
-    msg = F.col("msg")
-
-    outer = (
-        route(parsed, routes, subscription)
-        .withColumn("shape", _case(routes, lambda r: F.lit(r.shape)))
-        .withColumn("outer", J.members(msg, _OUTER))
-    )
-    named = envelope_defaults(
-        outer, _case(routes, lambda r: F.lit(r.default_source)), id_col, clock_col, createdate_format,
-        source=F.try_variant_get("outer.sourceid", "$", "string"),
+    shape = _case(routes, lambda r: f"'{r.shape}'")
+    default_source = _case(routes, lambda r: f"'{r.default_source}'")
+
+    outer = route(parsed, routes, subscription).selectExpr(
+        "*", f"{shape} AS shape", f"{J.members('msg', _OUTER)} AS outer"
     )
-    read = named.withColumns(
-        {f"{name}_kind": F.schema_of_variant(f"outer.{name}") for name in _OUTER}
-        | {f"outer_{name}": F.try_variant_get(f"outer.{name}", "$", "string") for name in _OUTER[1:]}
+    read = envelope_defaults(
+        outer, default_source, id_col, clock_col, createdate_format,
+        source="try_variant_get(outer.sourceid, '$', 'string')",
+    ).selectExpr(
+        "*",
+        *[f"schema_of_variant(outer.{name}) AS {name}_kind" for name in _OUTER],
+        *[f"try_variant_get(outer.{name}, '$', 'string') AS outer_{name}" for name in _OUTER[1:]],
     )
 
     # Device and onboarding payloads are Base64; a device payload holds the request as JSON.
     decoded = (
-        read.withColumn(
-            "bytes",
-            F.when((device | onboard) & (F.col("payload_kind") == J.STRING), base64_text.decode(F.col("outer_payload"))),
+        read.selectExpr(
+            "*",
+            f"CASE WHEN shape IN ('device', 'onboard') AND payload_kind = '{J.STRING}' "
+            f"THEN {base64_text.decode('outer_payload')} END AS bytes",
         )
-        .withColumn("inner_text", F.when(device, J.utf8_text(F.col("bytes"))))
-        .withColumn("record", F.when(device, J.parse_object(F.col("inner_text"))).when(strict, msg))
-        .withColumn("error", F.coalesce("error", _outer_reason(device, onboard, passthrough)))
+        .selectExpr("*", f"CASE WHEN shape = 'device' THEN {J.utf8_text('bytes')} END AS inner_text")
+        .selectExpr("*", f"CASE shape WHEN 'device' THEN {J.parse_object('inner_text')} WHEN 'strict' THEN msg END AS record")
     )
+    carried = [name for name in decoded.columns if name not in _READ]
     # First half ends here: see `evaluated_once` on the size of generated code.
-    carried = [c for c in decoded.columns if c not in _READ]
-    requests = (
-        evaluated_once(decoded, *carried)
-        .withColumn("members", E.request_members(F.col("record")))
-        .withColumns(E.request_values(F.col("members")))
-        .withColumn("type_problem", F.when(device, E.type_problem()).when(strict, E.strict_problem()))
-    )
+    first = evaluated_once(decoded.selectExpr(*carried, f"coalesce(error, {_outer_problem()}) AS error"))
 
-    payload_json = J.json_of_member(
-        F.col("inner_text"), F.col("members.payload"), F.col("req_payload_kind"), "payload"
-    )
-    request = (
-        F.when(device, E.remote_request(payload_json))
-        .when(strict, E.strict_request())
-        .when(onboard, E.remote_request_onboard(F.col("outer_path"), F.make_valid_utf8(F.col("bytes").cast("string"))))
+    values = (
+        first.selectExpr("*", f"{E.request_members('record')} AS members")
+        .selectExpr("*", *E.request_values("members"))
+        .selectExpr(
+            "*", f"CASE shape WHEN 'device' THEN {E.type_problem()} WHEN 'strict' THEN {E.strict_problem()} END AS type_problem"
+        )
     )
-    messagetype = _case(
-        routes,
-        lambda r: F.lit(r.messagetype)
-        if r.messagetype is not None
-        else F.when(F.col("outer_messagetype") == "", E.TELEMETRY).otherwise(F.col("outer_messagetype")),
+    ill_typed = (
+        f"CASE WHEN type_problem IS NULL THEN NULL "
+        f"WHEN shape = 'device' THEN {_problem('ENCODE', 'type_problem', 'request field type', quoted=False)} "
+        f"ELSE {_problem('RECORD', 'type_problem', 'message does not fit the record', quoted=False)} END"
     )
-    envelope = F.struct(
-        F.col("messageid"),
-        F.col("sourceid"),
-        F.when(passthrough, F.col("outer_payload")).when(strict, "").alias("payload"),
-        request.cast(REMOTE_REQUEST).alias("registrypayload"),
-        F.col("createdate"),
-        messagetype.alias("messagetype"),
+    others = [name for name in values.columns if name != "error"]
+    checked = values.selectExpr(*others, f"coalesce(error, {ill_typed}) AS error")
+
+    payload_json = J.json_of_member("inner_text", "members.payload", "req_payload_kind", "payload")
+    request = (
+        f"CASE shape WHEN 'device' THEN {E.remote_request(payload_json)} WHEN 'strict' THEN {E.strict_request()} "
+        f"WHEN 'onboard' THEN {E.remote_request_onboard('outer_path', _as_text('bytes'))} END"
     )
-    record_reason = F.when(device, _reason("ENCODE", F.col("type_problem"), "request field type")).when(
-        strict, _reason("RECORD", F.col("type_problem"), "message does not fit the record")
+    kept_type = f"CASE WHEN outer_messagetype = '' THEN '{E.TELEMETRY}' ELSE outer_messagetype END"
+    messagetype = _case(routes, lambda r: kept_type if r.messagetype is None else f"'{r.messagetype}'")
+    envelope = (
+        "named_struct('messageid', messageid, 'sourceid', sourceid, "
+        "'payload', CASE shape WHEN 'passthrough' THEN outer_payload WHEN 'strict' THEN '' END, "
+        f"'registrypayload', {request}, 'createdate', createdate, 'messagetype', {messagetype})"
     )
-    checked = requests.withColumn("error", F.coalesce("error", record_reason))
     return evaluated_once(
-        checked, *kept, "route", "error", F.when(F.col("error").isNull(), envelope).cast(ENVELOPE).alias("envelope")
+        checked.selectExpr(*kept, "route", "error", f"CASE WHEN error IS NULL THEN {envelope} END AS envelope")
     )
 
 
-# Outer members any shape may need; only text values are valid.
-_OUTER = ("sourceid", "payload", "messagetype", "path")
-# Columns the second half no longer needs.
-_READ = {"text", "msg", "outer", *[f"{name}_kind" for name in _OUTER]}
-
-
-def _reason(stage: str, exception: Column | str, cause: str) -> Column:
-    """An error of this module; NULL when its message is NULL."""
-    reason = problem(stage, exception, cause, f"standardise/{stage.lower()}")
-    return reason if isinstance(exception, str) else F.when(exception.isNotNull(), reason)
+def _problem(stage: str, exception: str, cause: str, quoted: bool = True) -> str:
+    return problem(stage, exception, cause, f"standardise/{stage.lower()}", quoted)
 
 
-def _outer_reason(device: Column, onboard: Column, passthrough: Column) -> Column:
-    """The first step that fails before the request is read, in the order the steps run."""
+def _outer_problem() -> str:
+    """SQL of the first step that fails before the request is read, in the order the steps run."""
 
-    def absent(name: str) -> Column:
-        return F.col(f"{name}_kind").isNull() | (F.col(f"{name}_kind") == J.NULL)
+    def absent(name: str) -> str:
+        return J.missing(f"{name}_kind")
 
-    def not_text(name: str) -> Column:
+    def not_text(name: str) -> str:
         """Present, not null and not text; false when absent."""
-        return F.col(f"{name}_kind").isNotNull() & ~F.col(f"{name}_kind").isin(J.STRING, J.NULL)
-
-    return (
-        F.when(not_text("sourceid"), _reason("SOURCEID", "sourceid is not text", "wrong type"))
-        .when(
-            device | onboard,
-            F.when(not_text("payload"), _reason("PAYLOAD", "payload is not text", "wrong type"))
-            .when(device & absent("payload"), _reason("PAYLOAD", "payload is missing", "missing value"))
-            .when(~absent("payload") & F.col("bytes").isNull(), _reason("PAYLOAD", "payload is not Base64", "malformed input"))
-            .when(device & F.col("record").isNull(), _reason("PAYLOAD", "decoded payload is not a JSON object", "malformed input"))
-            .when(onboard & not_text("path"), _reason("ENCODE", "path has the wrong type", "request field is text")),
-        )
-        .when(
-            passthrough,
-            F.when(absent("messagetype"), _reason("MESSAGETYPE", "messagetype is missing", "missing value"))
-            .when(not_text("messagetype"), _reason("ENCODE", "messagetype has the wrong type", "envelope field is text"))
-            .when(not_text("payload"), _reason("ENCODE", "payload has the wrong type", "envelope field is text")),
-        )
-    )
+        return f"({name}_kind IS NOT NULL AND {name}_kind NOT IN ('{J.STRING}', '{J.NULL}'))"
+
+    return f"""CASE
+      WHEN {not_text('sourceid')} THEN {_problem('SOURCEID', 'sourceid is not text', 'wrong type')}
+      WHEN shape IN ('device', 'onboard') THEN CASE
+        WHEN {not_text('payload')} THEN {_problem('PAYLOAD', 'payload is not text', 'wrong type')}
+        WHEN shape = 'device' AND {absent('payload')} THEN {_problem('PAYLOAD', 'payload is missing', 'missing value')}
+        WHEN NOT {absent('payload')} AND bytes IS NULL THEN {_problem('PAYLOAD', 'payload is not Base64', 'malformed input')}
+        WHEN shape = 'device' AND record IS NULL THEN {_problem('PAYLOAD', 'decoded payload is not a JSON object', 'malformed input')}
+        WHEN shape = 'onboard' AND {not_text('path')} THEN {_problem('ENCODE', 'path has the wrong type', 'request field is text')}
+      END
+      WHEN shape = 'passthrough' THEN CASE
+        WHEN {absent('messagetype')} THEN {_problem('MESSAGETYPE', 'messagetype is missing', 'missing value')}
+        WHEN {not_text('messagetype')} THEN {_problem('ENCODE', 'messagetype has the wrong type', 'envelope field is text')}
+        WHEN {not_text('payload')} THEN {_problem('ENCODE', 'payload has the wrong type', 'envelope field is text')}
+      END
+    END"""
 
 
 def of_route(standardised: DataFrame, name: str) -> DataFrame:
@@ -240,7 +230,7 @@ def registry_whole_message(
     messagetype: str = E.REGISTRY_RESPONSE,
 ) -> DataFrame:
     """Adds `envelope` with the whole message as payload text, under one fixed source and type."""
-    return _wrapped(parsed, J.compact(F.col("text"), F.col("msg")), id_col, clock_col, sourceid, messagetype, E.ISO_MILLIS)
+    return _wrapped(parsed, F.expr(J.compact("text", "msg")), id_col, clock_col, sourceid, messagetype, E.ISO_MILLIS)
 
 
 def simple_wrap(
@@ -255,24 +245,21 @@ def simple_wrap(
 
     Pass ``createdate_format=TWELVE_HOUR`` for the shorter clock text without millis.
     """
-    text = F.make_valid_utf8(F.col("value").cast("string"))
-    return _wrapped(messages.withColumn("error", no_problem()), text, id_col, clock_col, sourceid, messagetype, createdate_format)
+    return _wrapped(messages.withColumn("error", no_problem()), F.expr(_as_text("value")), id_col, clock_col, sourceid, messagetype, createdate_format)
 
 
 def _wrapped(df, payload, id_col, clock_col, sourceid, messagetype, createdate_format) -> DataFrame:
-    identity = id_col if id_col is not None else E.message_key(F.col("topic"), F.col("partition"), F.col("offset"))
+    identity = id_col if id_col is not None else E.message_key()
     clock = clock_col if clock_col is not None else F.current_timestamp()
     envelope = F.struct(
-        E.message_id(identity, F.lit(sourceid)).alias("messageid"),
+        F.concat(identity, F.lit(sourceid)).alias("messageid"),
         F.lit(sourceid).alias("sourceid"),
         payload.alias("payload"),
         F.lit(None).cast(REMOTE_REQUEST).alias("registrypayload"),
         E.create_date(clock, createdate_format).alias("createdate"),
         F.lit(messagetype).alias("messagetype"),
     )
-    return evaluated_once(
-        df, *df.columns, F.when(F.col("error").isNull(), envelope).cast(ENVELOPE).alias("envelope")
-    )
+    return evaluated_once(df.withColumn("envelope", F.when(F.col("error").isNull(), envelope).cast(ENVELOPE)))
 
 
 __all__ = [

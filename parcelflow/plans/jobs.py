@@ -85,7 +85,7 @@ def business_job(
     decoded = avro.decode_avro(messages, "value", ENVELOPE_AVRO).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         bad = outcome.problem("DECODE", "message is not an envelope", "malformed input", "business_job")
-        letters = decoded.where("envelope IS NULL").withColumn("error", bad)
+        letters = decoded.where("envelope IS NULL").withColumn("error", F.expr(bad))
         files.write_errors(outcome.dead_letters(letters), f"{target.root}/{target.app}/ERRORS", batch_id)
         read = decoded.where("envelope IS NOT NULL")
         files.archive_parsed(read.withColumn("json", F.to_json("envelope")), target.root, target.app, batch_id)

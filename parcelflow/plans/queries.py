@@ -404,17 +404,16 @@ def build_outbox(spark, folder):
     )
 
 
-def _recorded(request: dict) -> str:
-    """Stands in for a call: answers with what was asked, and fails for the broker."""
-    if request["channel"] == "MQTT":
-        raise ConnectionError("broker away")
-    return f"{request['method']} {request['uri']} {request['path']}"
-
-
 @query
 def deliver(spark, folder):
+    def recorded(request: dict) -> str:
+        """Stands in for a call: answers with what was asked, and fails for the broker."""
+        if request["channel"] == "MQTT":
+            raise ConnectionError("broker away")
+        return f"{request['method']} {request['uri']} {request['path']}"
+
     path = shared_folder(spark, "results")
-    files.write_batch(O.deliver(_requests(spark, folder), _recorded), path)
+    files.write_batch(O.deliver(_requests(spark, folder), recorded), path)
     return spark.read.parquet(path).select("messageid", "rule_id", "channel", "result")
 
 
