@@ -43,26 +43,36 @@ def _variable_int(number: Column) -> Column:
     return sized.otherwise(of_size(5))
 
 
-def _encode(value: Column, avro: object) -> Column:
+def _piece(number: Column, data: Column | None = None) -> Column:
+    """A number and the bytes that follow it: every part of a record has this form."""
+    return F.struct(number.cast("bigint").alias("number"), (data if data is not None else F.lit(b"")).alias("data"))
+
+
+def _pieces(value: Column, avro: object) -> Column:
+    """A value's pieces in order, as an array."""
     if isinstance(avro, list):
         branch = [b for b in avro if b != "null"][0]
-        index = {name: bytes([2 * avro.index(b)]) for name, b in (("null", "null"), ("value", branch))}
-        return F.when(value.isNull(), F.lit(index["null"])).otherwise(F.concat(F.lit(index["value"]), _encode(value, branch)))
+        chosen = {name: F.array(_piece(F.lit(2 * avro.index(b)))) for name, b in (("null", "null"), ("value", branch))}
+        return F.when(value.isNull(), chosen["null"]).otherwise(F.concat(chosen["value"], _pieces(value, branch)))
     if avro == "string":
-        return F.concat(_variable_int(2 * F.octet_length(value).cast("bigint")), value.cast("binary"))
+        return F.array(_piece(2 * F.octet_length(value), value.cast("binary")))
     if avro == "int":
         wide = value.cast("bigint")
-        return _variable_int(F.shiftleft(wide, 1).bitwiseXOR(F.shiftright(wide, 63)))
+        return F.array(_piece(F.shiftleft(wide, 1).bitwiseXOR(F.shiftright(wide, 63))))
     if avro["type"] == "enum":
         # array_position counts from 1, the symbol's number is zig-zag: 2 * (position - 1).
         position = F.array_position(F.array(*[F.lit(s) for s in avro["symbols"]]), value)
-        return F.when(position > 0, _variable_int(2 * (position - 1)))
-    return F.concat(*[_encode(value.getField(f["name"]), f["type"]) for f in avro["fields"]])
+        return F.array(_piece(F.when(position > 0, 2 * (position - 1))))
+    return F.concat(*[_pieces(value.getField(f["name"]), f["type"]) for f in avro["fields"]])
 
 
 def encode(value: Column, schema_json: str) -> Column:
     """A struct as Avro binary; NULL when a field that must have a value has none."""
-    return F.when(value.isNotNull(), _encode(value, json.loads(schema_json)))
+    joined = F.reduce(
+        _pieces(value, json.loads(schema_json)), F.lit(b""),
+        lambda done, piece: F.concat(done, _variable_int(piece["number"]), piece["data"]),
+    )
+    return F.when(value.isNotNull(), joined)
 
 
 def struct_type(avro: object) -> T.DataType:

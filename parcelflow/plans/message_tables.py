@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ..schemas import MESSAGE
 from ..session import configure
+from ..sources.messages import spread
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -77,12 +78,12 @@ def event_message_rows(events: DataFrame) -> DataFrame:
 
 
 def event_messages(spark: SparkSession, folder: str) -> DataFrame:
-    return event_message_rows(table(spark, folder, "events"))
+    return event_message_rows(spread(table(spark, folder, "events")))
 
 
 def conversation_messages(spark: SparkSession, folder: str) -> DataFrame:
     """Long multilingual text as telemetry: JSON with the turn as payload."""
-    turns = table(spark, folder, "conversations")
+    turns = spread(table(spark, folder, "conversations"))
     body = F.to_json(F.struct(
         F.when(F.col("role") != "system", F.concat(F.lit("conv"), F.col("conv_id") % 5)).alias("sourceid"),
         F.col("text").alias("payload"),
@@ -100,7 +101,7 @@ def conversation_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 def document_messages(spark: SparkSession, folder: str) -> DataFrame:
     """Whole documents as plain-text messages."""
-    documents = table(spark, folder, "documents")
+    documents = spread(table(spark, folder, "documents"))
     return documents.select(
         F.lit("text.documents").alias("topic"),
         (F.col("doc_id") % 4).cast("int").alias("partition"),

@@ -343,7 +343,7 @@ def _trees(spark: SparkSession, folder: str) -> DataFrame:
         .when(kind == 3, F.concat(F.lit('{"list":['), text, F.lit("]}")))
         .otherwise(F.concat(F.lit("no json "), text))
     )
-    return table(spark, folder, "documents").select("doc_id", tree.alias("tree"))
+    return source.spread(table(spark, folder, "documents")).select("doc_id", tree.alias("tree"))
 
 
 @query
@@ -366,7 +366,9 @@ def search_json(spark, folder):
 
 @query
 def archive_raw(spark, folder):
-    path = files.archive_raw(event_messages(spark, folder), shared_folder(spark, "archive"), "security")
+    # No spreading here: nothing is parsed, and rows of one day stay together.
+    messages = event_message_rows(table(spark, folder, "events"))
+    path = files.archive_raw(messages, shared_folder(spark, "archive"), "security")
     return spark.read.parquet(path).select(
         F.col("day").cast("string").alias("day"), "topic", "key", F.col("value").cast("string").alias("value")
     )

@@ -29,3 +29,16 @@ def read_messages(
         bus = reader.format("kafka").options(**options).option("subscribe", ",".join(names)).load()
         return bus.withColumn("key", F.col("key").cast("string")).select(*MESSAGE.names)
     return reader.schema(MESSAGE).options(**options).parquet(path).where(F.col("topic").isin(names))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Input in fewer splits than there are cores, spread over all of them.
+
+    Parsing costs far more per row than moving it, so a batch of a few small
+    files is worth one shuffle of its raw rows. Input with enough splits, the
+    usual case, is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
