@@ -41,17 +41,15 @@ def missing(kind: str) -> str:
     return f"({kind} IS NULL OR {kind} = '{NULL}')"
 
 
-def compact(text: str, parsed: str) -> str:
+def compact(ordered: str, plain: str) -> str:
     """A parsed message as JSON text without blanks, keys in their order.
 
-    Repeated keys are the one case where the text says more than the parsed
-    message; the lengths then differ and the parsed form (last value) is used.
+    `ordered` is ``get_json_object(text, '$')``, `plain` the parsed message as
+    JSON. Repeated keys are the one case where the text says more than the
+    parsed message; the lengths then differ and the parsed form (last value) is
+    used.
     """
-    ordered, plain = f"get_json_object({text}, '$')", f"to_json({parsed})"
-    return (
-        f"CASE WHEN {parsed} IS NOT NULL THEN "
-        f"CASE WHEN length({ordered}) = length({plain}) THEN {ordered} ELSE {plain} END END"
-    )
+    return f"CASE WHEN length({ordered}) = length({plain}) THEN {ordered} ELSE {plain} END"
 
 
 def json_of_member(text: str, value: str, kind: str, name: str) -> str:

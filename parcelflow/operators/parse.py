@@ -28,7 +28,8 @@ def to_json_text(df: DataFrame, cols: list[str] | None = None, name: str = "json
 
 def message_text(df: DataFrame, name: str = "json") -> DataFrame:
     """Adds a parsed message as compact JSON text; NULL where it did not parse."""
-    return df.selectExpr("*", f"{J.compact('text', 'msg')} AS {name}")
+    texts = df.selectExpr("*", "get_json_object(text, '$') AS _ordered", "to_json(msg) AS _plain")
+    return texts.selectExpr(*df.columns, f"CASE WHEN msg IS NOT NULL THEN {J.compact('_ordered', '_plain')} END AS {name}")
 
 
 def decode_payload(df: DataFrame, text: str, name: str = "inner") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import base64_text, envelope as E, json_text as J
 from ..schemas import ENVELOPE, REMOTE_REQUEST
 from .outcome import evaluated_once, no_problem, problem
-from .parse import parse_json
+from .parse import message_text, parse_json
 
 
 @dataclass(frozen=True)
@@ -230,7 +230,8 @@ def registry_whole_message(
     messagetype: str = E.REGISTRY_RESPONSE,
 ) -> DataFrame:
     """Adds `envelope` with the whole message as payload text, under one fixed source and type."""
-    return _wrapped(parsed, F.expr(J.compact("text", "msg")), id_col, clock_col, sourceid, messagetype, E.ISO_MILLIS)
+    whole = message_text(parsed, "_whole")
+    return _wrapped(whole, F.col("_whole"), id_col, clock_col, sourceid, messagetype, E.ISO_MILLIS)
 
 
 def simple_wrap(
@@ -259,7 +260,8 @@ def _wrapped(df, payload, id_col, clock_col, sourceid, messagetype, createdate_f
         E.create_date(clock, createdate_format).alias("createdate"),
         F.lit(messagetype).alias("messagetype"),
     )
-    return evaluated_once(df.withColumn("envelope", F.when(F.col("error").isNull(), envelope).cast(ENVELOPE)))
+    kept = [name for name in df.columns if name not in ("text", "msg", "_whole")]
+    return evaluated_once(df.select(*kept, F.when(F.col("error").isNull(), envelope).cast(ENVELOPE).alias("envelope")))
 
 
 __all__ = [

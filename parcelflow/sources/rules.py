@@ -23,9 +23,9 @@ def read_rules(spark: SparkSession, path: str) -> DataFrame:
 
 def read_rule_texts(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """Rule text by name from a file tree, one row per file."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
     stem = F.regexp_extract("_metadata.file_name", r"^(.*?)(\.[^.]*)?$", 1)
-    return files.text(path).select(stem.alias("name"), F.col("value").alias("rule"))
+    return files.text(path, wholetext=True).select(stem.alias("name"), F.col("value").alias("rule"))
 
 
 def read_rule_table(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
