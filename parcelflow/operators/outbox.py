@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..schemas import OUTBOX
 from .lookup import left_lookup
@@ -105,15 +105,21 @@ def request_key(url: Column, data: Column, attr: Column) -> Column:
     )
 
 
-def _kept_answers(df: DataFrame, cache: str, now: Column, ttl: str) -> DataFrame:
-    spark = df.sparkSession
-    schema = "request string, answer string, ok boolean, fetched_at timestamp"
+_ANSWER = "request string, answer string, ok boolean, fetched_at timestamp, hour string"
+
+
+def _hour(clock: Column) -> Column:
+    return F.date_format(F.to_utc_timestamp(clock, F.current_timezone()), "yyyyMMddHH")
+
+
+def _recent(spark: SparkSession, cache: str, now: Column, ttl: str) -> DataFrame:
+    """Stored answers younger than `ttl`; the hour they were fetched in prunes the rest of the folder."""
+    oldest = now - F.expr(f"INTERVAL {ttl}")
     try:
-        stored = spark.read.schema(schema).parquet(cache)
+        stored = spark.read.schema(_ANSWER).parquet(cache)
     except AnalysisException:
-        stored = spark.createDataFrame([], schema)
-    fresh = stored.where("ok").where(F.col("fetched_at") > now - F.expr(f"INTERVAL {ttl}"))
-    return fresh.groupBy("request").agg(F.max_by("answer", "fetched_at").alias("answer"))
+        stored = spark.createDataFrame([], _ANSWER)
+    return stored.where(F.col("hour") >= _hour(oldest)).where(F.col("fetched_at") > oldest)
 
 
 def enrich_cached(
@@ -126,20 +132,24 @@ def enrich_cached(
     ttl: str = "1 HOUR",
     now: Column | None = None,
     name: str = "answer",
+    partitions: int | None = None,
 ) -> DataFrame:
     """Adds `answer`, asking once per distinct (url, data, attr).
 
     Answers younger than `ttl` are taken from `cache`, a folder every executor
     can reach; the rest are asked in the tasks, appended to it, and read from
     there, so that no later use and no lost executor asks again. A failed call
-    gives EXCEPTION_ and its text and is asked again next time.
+    gives EXCEPTION_ and its text and is asked again next time. `partitions`
+    sets how many tasks ask at the same time.
     """
     now = now if now is not None else F.current_timestamp()
     asked = df.withColumn("request", request_key(url, data, attr))
     distinct = asked.select("request", url.alias("url"), data.alias("data"), F.map_entries(attr).alias("attr")) \
         .groupBy("request").agg(F.first("url").alias("url"), F.first("data").alias("data"), F.first("attr").alias("attr"))
-    kept = _kept_answers(df, cache, now, ttl)
-    missing = distinct.join(kept.select("request"), "request", "left_anti")
+    kept = _recent(df.sparkSession, cache, now, ttl).where("ok").select("request").distinct()
+    missing = distinct.join(kept, "request", "left_anti")
+    if partitions:
+        missing = missing.repartition(partitions)
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -154,9 +164,9 @@ def enrich_cached(
                     good.append(False)
             yield pd.DataFrame({"request": batch["request"], "answer": answers, "ok": good})
 
-    fetched = missing.mapInPandas(ask, "request string, answer string, ok boolean").withColumn("fetched_at", now)
-    # Failures stay out of the cache folder's reuse through `ok`, but are read back for this call.
-    fetched.write.mode("append").parquet(cache)
-    stored = df.sparkSession.read.parquet(cache).where(F.col("fetched_at") > now - F.expr(f"INTERVAL {ttl}"))
+    fetched = missing.mapInPandas(ask, "request string, answer string, ok boolean")
+    # Failures are stored for this call's read-back; `ok` keeps them from being reused.
+    fetched.select("*", now.alias("fetched_at"), _hour(now).alias("hour")).write.mode("append").partitionBy("hour").parquet(cache)
+    stored = _recent(df.sparkSession, cache, now, ttl)
     best = stored.groupBy("request").agg(F.max_by("answer", F.struct("ok", "fetched_at")).alias(name))
     return left_lookup(asked, best, ["request"]).drop("request")
