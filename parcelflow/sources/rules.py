@@ -6,14 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schemas import RULE
 
-# Sources with a rule set of their own, and the rule text each one names.
-RULE_TEXTS = {
-    "default": "drools/RouteGenericMapDataRules_default.drl",
-    "kaniu": "drools/RouteGenericMapDataRules_kaniu.drl",
-    "yaima": "drools/RouteGenericMapDataRules_yaima.drl",
-    "oneid": "drools/RouteGenericMapDataRules_oneid.drl",
-    "customer2": "drools/RouteGenericMapDataRules-customer2.drl",
-}
+# Sources with a rule set of their own.
+RULE_SETS = ("default", "kaniu", "yaima", "oneid", "customer2")
 
 
 def read_rules(spark: SparkSession, path: str) -> DataFrame:
@@ -41,7 +35,7 @@ def default_rules(spark: SparkSession, registry: str, index: str, broker: str, s
     """
     json_header = '{"Content-Type":"application/json"}'
     rows = []
-    for name in RULE_TEXTS:
+    for name in RULE_SETS:
         def rule(rule_id, salience, when, action, channel, target, **params):
             rows.append((name, rule_id, salience, when, action, channel, target, params))
 
