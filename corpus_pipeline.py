@@ -15,14 +15,14 @@ from parcelflow.llm.common import stored, table
 def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """Rows of `docs` whose doc_id is among `kept` (doc_id); null ids match one another."""
     ids = kept.select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_kept"]), "left_semi")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep; of rows that share an id, all or none (all must be kept)."""
     judged = quality_rules.judge(docs, table(spark, sf_dir, "labels"))
     rejected = judged.where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(rejected, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["_gone"]), "left_anti")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

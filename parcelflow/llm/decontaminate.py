@@ -107,4 +107,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of `docs` whose id is not found with any item; null ids are judged as one document."""
     found = contaminated(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, F.col(id_col).eqNullSafe(F.col("_found")), "left_anti")
+    return docs.join(found, docs[id_col].eqNullSafe(found["_found"]), "left_anti")

@@ -200,7 +200,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         # The pivot is the text whose keys most others share: an original rather than one of its variants.
         crowd = bucket.groupBy("key").agg(F.count("*").alias("crowd"))
         fame = bucket.join(crowd, "key").groupBy("id").agg(F.sum("crowd").alias("fame"))
-        pivots = bucket.join(fame, "id").groupBy("key").agg(F.max_by("id", F.struct("fame", -F.col("id"))).alias("a"))
+        pivots = bucket.join(fame, "id").groupBy("key").agg(F.max_by("id", F.struct("fame", F.bitwise_not("id"))).alias("a"))
         against = bucket.select("key", "id").join(pivots, "key").where("id != a").select("a", F.col("id").alias("b"))
         judged = stored(_similar(against.distinct(), sets), "judged")
         found = found.unionByName(judged.where(100 * F.col("both") >= percent * F.col("either")).select("a", "b"))

@@ -6,7 +6,8 @@ the hosts that link there. Both are personalised PageRank: a host keeps
 ``1 - DAMPING`` of its seed, the share of its pages that the rules allow (or block), and
 gets the rest from its neighbours in proportion to their links. A host without neighbours
 hands its score to itself. A page without a rule is blocked when its host's
-distrust is at least `LIMIT` and above its trust.
+distrust is at least `LIMIT` and above its trust; a host's own share counts in
+full where it is above the score that is left after handing on.
 """
 
 from __future__ import annotations
@@ -71,7 +72,7 @@ def spread(seeds: DataFrame, links: DataFrame, steps: int = STEPS, damping: floa
         own = F.when(F.col("linked"), 0.0).otherwise(F.col("score"))
         score = (1 - damping) * F.col("seed") + damping * (F.coalesce("got", F.lit(0.0)) + own)
         state = stored(state.join(got, state["host"] == got["b"], "left").select("host", "seed", "linked", score.alias("score")), "ranks")
-    return state.select("host", "score")
+    return state.select("host", F.greatest("seed", "score").alias("score"))
 
 
 def judge_pages(pages: DataFrame, rules: tuple = RULES, limit: float = LIMIT) -> DataFrame:
