@@ -15,7 +15,7 @@ from .common import WORD, running_total, stored
 #: Sources beyond this many are joined instead of broadcast.
 BROADCAST_SOURCES = 20_000
 #: Documents that one task sorts, about.
-SORTED_TOGETHER = 50_000
+SORTED_TOGETHER = 4_000
 EPOCHS = 3
 
 
