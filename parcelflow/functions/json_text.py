@@ -15,9 +15,14 @@ from __future__ import annotations
 STRING, INTEGER, NULL = "STRING", "BIGINT", "VOID"
 
 
+def exact_text(value: str) -> str:
+    """Bytes as text, every character of it; NULL when they are not UTF-8."""
+    return f"try_validate_utf8(CAST({value} AS STRING))"
+
+
 def utf8_text(value: str) -> str:
     """Bytes as text without blanks or a byte order mark in front; NULL when they are not UTF-8."""
-    return rf"trim(LEADING ' \t\n\r﻿' FROM try_validate_utf8(CAST({value} AS STRING)))"
+    return rf"trim(LEADING ' \t\n\r﻿' FROM {exact_text(value)})"
 
 
 def parse_object(text: str) -> str:
@@ -41,22 +46,23 @@ def missing(kind: str) -> str:
     return f"({kind} IS NULL OR {kind} = '{NULL}')"
 
 
-def compact(ordered: str, plain: str) -> str:
-    """A parsed message as JSON text without blanks, keys in their order.
+def compact(text: str, ordered: str, plain: str) -> str:
+    """A parsed message as JSON text without blanks, keys in their order; 1.0 stays 1.0.
 
     `ordered` is ``get_json_object(text, '$')``, `plain` the parsed message as
-    JSON. Repeated keys are the one case where the text says more than the
-    parsed message; the lengths then differ and the parsed form (last value) is
-    used.
+    JSON. Only an object that repeats a key says more than the parsed message:
+    the parsed form (last value) is used for it.
     """
-    return f"CASE WHEN length({ordered}) = length({plain}) THEN {ordered} ELSE {plain} END"
+    return (
+        f"CASE WHEN size(json_object_keys({text})) > size(array_distinct(json_object_keys({text})))"
+        f" THEN {plain} ELSE {ordered} END"
+    )
 
 
 def json_of_member(text: str, value: str, kind: str, name: str) -> str:
-    """A member written back as JSON: objects compact and in key order, strings quoted, absent or null ''.
+    """A member written back as JSON: objects compact and in key order, 21.0 as 21.0, strings quoted, absent or null ''.
 
     `text` is the object's own text, `value` and `kind` the member as VARIANT and its type.
     """
     raw = f"from_json({text}, '`{name}` string').`{name}`"
-    nested = f"startswith({kind}, 'OBJECT') OR startswith({kind}, 'ARRAY')"
-    return f"CASE WHEN {missing(kind)} THEN '' WHEN {nested} THEN {raw} ELSE to_json({value}) END"
+    return f"CASE WHEN {missing(kind)} THEN '' WHEN {kind} IN ('{STRING}', 'BOOLEAN') THEN to_json({value}) ELSE {raw} END"

@@ -117,7 +117,9 @@ def _recent(spark: SparkSession, cache: str, now: Column, ttl: str) -> DataFrame
     oldest = now - F.expr(f"INTERVAL {ttl}")
     try:
         stored = spark.read.schema(_ANSWER).parquet(cache)
-    except AnalysisException:
+    except AnalysisException as failure:
+        if failure.getCondition() != "PATH_NOT_FOUND":
+            raise
         stored = spark.createDataFrame([], _ANSWER)
     return stored.where(F.col("hour") >= _hour(oldest)).where(F.col("fetched_at") > oldest)
 
@@ -142,7 +144,9 @@ def enrich_cached(
     gives EXCEPTION_ and its text and is asked again next time. `partitions`
     sets how many tasks ask at the same time.
     """
-    now = now if now is not None else F.current_timestamp()
+    # One instant for the whole call, also where its result is computed later.
+    clock = now if now is not None else F.current_timestamp()
+    now = F.timestamp_micros(F.lit(df.sparkSession.range(1).select(F.unix_micros(clock)).first()[0]))
     asked = df.withColumn("request", request_key(url, data, attr))
     distinct = asked.select("request", url.alias("url"), data.alias("data"), F.map_entries(attr).alias("attr")) \
         .groupBy("request").agg(F.first("url").alias("url"), F.first("data").alias("data"), F.first("attr").alias("attr"))

@@ -29,14 +29,14 @@ def to_json_text(df: DataFrame, cols: list[str] | None = None, name: str = "json
 def message_text(df: DataFrame, name: str = "json") -> DataFrame:
     """Adds a parsed message as compact JSON text; NULL where it did not parse."""
     texts = df.selectExpr("*", "get_json_object(text, '$') AS _ordered", "to_json(msg) AS _plain")
-    return texts.selectExpr(*df.columns, f"CASE WHEN msg IS NOT NULL THEN {J.compact('_ordered', '_plain')} END AS {name}")
+    return texts.selectExpr(*df.columns, f"CASE WHEN msg IS NOT NULL THEN {J.compact('text', '_ordered', '_plain')} END AS {name}")
 
 
 def decode_payload(df: DataFrame, text: str, name: str = "inner") -> DataFrame:
-    """Base64 text to `<name>_text` and, when that is a JSON object, `<name>` as VARIANT."""
+    """Base64 text to `<name>_text`, exactly as encoded, and, when that is a JSON object, `<name>` as VARIANT."""
     configure(df.sparkSession)
-    return df.selectExpr("*", f"{J.utf8_text(base64_text.decode(text))} AS {name}_text").selectExpr(
-        "*", f"{J.parse_object(f'{name}_text')} AS {name}"
+    return df.selectExpr("*", f"{J.exact_text(base64_text.decode(text))} AS {name}_text").selectExpr(
+        "*", f"{J.parse_object(J.utf8_text(f'{name}_text'))} AS {name}"
     )
 
 

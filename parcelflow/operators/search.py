@@ -51,9 +51,22 @@ def _described(value: object) -> dict | None:
     if value is None:
         return None
     if isinstance(value, str):
-        return {"value": value, "type": "string"}
+        return {"value": _encodable(value), "type": "string"}
     kind = "boolean" if isinstance(value, bool) else {dict: "object", list: "array"}.get(type(value), "number")
-    return {"value": json.dumps(value, ensure_ascii=False, separators=(",", ":")), "type": kind}
+    return {"value": _encodable(json.dumps(value, ensure_ascii=False, separators=(",", ":"))), "type": kind}
+
+
+def _encodable(text: str) -> str:
+    """Half of a character pair cannot be encoded and becomes ``?``, as elsewhere in Spark."""
+    return text.encode("utf-8", "replace").decode("utf-8")
+
+
+def _found(text: str, matches: Callable[[str], bool]) -> dict | None:
+    """The hit in one text; what goes wrong with it is that text's own result."""
+    try:
+        return _described(first_hit(json.JSONDecoder().raw_decode(text)[0], matches))  # text after the object does not matter
+    except (ValueError, RecursionError) as failure:
+        return {"value": str(failure), "type": "error"}
 
 
 def _search(text: Column, key: str, exact: bool) -> Column:
@@ -61,8 +74,7 @@ def _search(text: Column, key: str, exact: bool) -> Column:
 
     @F.arrow_udf(FOUND)
     def walk(texts: pa.Array) -> pa.Array:
-        read = json.JSONDecoder().raw_decode  # text after the object does not matter
-        found = [None if t is None else _described(first_hit(read(t)[0], matches)) for t in texts.to_pylist()]
+        found = [None if t is None else _found(t, matches) for t in texts.to_pylist()]
         return pa.array(found, type=_ARROW)
 
     # A key written with an escape does not appear literally: keep texts that hold a backslash.

@@ -23,14 +23,14 @@ class Target:
     topic: str = "envelopes"
     bus: dict | None = None
 
-    def publish(self, df: DataFrame, batch_id: int | str) -> None:
+    def publish(self, df: DataFrame, batch_id: int | str | None) -> None:
         if self.bus is None:
             topics.publish(df, self.topic, f"{self.root}/{self.app}/TOPIC", batch_id)
         else:
             topics.publish(df, self.topic, **self.bus)
 
 
-def _write(messages: DataFrame, built: DataFrame, target: Target, batch_id: int | str, keep: bool) -> None:
+def _write(messages: DataFrame, built: DataFrame, target: Target, batch_id: int | str | None, keep: bool) -> None:
     """Archive, publish and set aside. `built` carries `envelope`, `error` and, when parsed, `json`.
 
     The built frame is computed once for all writes; `keep=False` computes it
@@ -51,25 +51,25 @@ def _write(messages: DataFrame, built: DataFrame, target: Target, batch_id: int
 
 
 def security_job(
-    messages: DataFrame, target: Target, batch_id: int | str = 0, check: Column | None = None, keep: bool = True, **options
+    messages: DataFrame, target: Target, batch_id: int | str | None = None, check: Column | None = None, keep: bool = True, **options
 ) -> None:
     """JSON topics to envelopes, the shape by topic."""
     parsed = parse.message_text(outcome.security_check(parse.parse_json(messages), check))
     _write(messages, S.standardise(parsed, **options), target, batch_id, keep)
 
 
-def registry_job(messages: DataFrame, target: Target, batch_id: int | str = 0, check: Column | None = None, keep: bool = True, **options) -> None:
+def registry_job(messages: DataFrame, target: Target, batch_id: int | str | None = None, check: Column | None = None, keep: bool = True, **options) -> None:
     """Registry answers, each whole message as payload."""
     parsed = parse.message_text(outcome.security_check(parse.parse_json(messages), check))
     _write(messages, S.registry_whole_message(parsed, **options), target, batch_id, keep)
 
 
 def simple_job(
-    messages: DataFrame, target: Target, sourceid: str, batch_id: int | str = 0, partitions: int = 6, keep: bool = True, **options
+    messages: DataFrame, target: Target, sourceid: str, batch_id: int | str | None = None, partitions: int | None = None, keep: bool = True, **options
 ) -> None:
-    """Any text, one shape, over a fixed number of partitions."""
+    """Any text, one shape; over `partitions` tasks when given, else as it was read."""
     built = S.simple_wrap(messages, sourceid, **{"createdate_format": TWELVE_HOUR, **options})
-    _write(messages, built.repartition(partitions), target, batch_id, keep)
+    _write(messages, built.repartition(partitions) if partitions else built, target, batch_id, keep)
 
 
 def business_job(
@@ -77,7 +77,7 @@ def business_job(
     rules: DataFrame,
     send: Callable[[dict], str],
     target: Target,
-    batch_id: int | str = 0,
+    batch_id: int | str | None = None,
     jdbc: dict | None = None,
 ) -> None:
     """Envelopes to rules to requests. Results are written once per batch; SQL rows go to `jdbc` when given."""

@@ -132,7 +132,7 @@ ORACLES = {
         SELECT event_id, '{"path":"/a/' || event_type || '","statusCode":' || (event_id % 3) || ',"payload":' || props
           || ',"txId":"' || event_id || '"}' AS inner_text, '/a/' || event_type AS path,
           CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events""",
-    "decode_payload_long_text": "SELECT doc_id, ltrim(text, chr(32) || chr(9) || chr(10) || chr(13) || chr(65279)) AS text FROM documents",
+    "decode_payload_long_text": "SELECT doc_id, text FROM documents",
     "payload_text": r"""
         SELECT event_id, CASE event_id % 6 WHEN 0 THEN '{"k":' || json_extract_string(props, '$.k') || '}'
           WHEN 1 THEN '"say \"' || event_type || '\""' WHEN 2 THEN CAST(event_id AS VARCHAR) WHEN 3 THEN 'true'

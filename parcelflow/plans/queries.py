@@ -310,7 +310,7 @@ def lookup_rule_uri(spark, folder):
         name, F.concat(F.left(name, F.lit(1)), F.lit("%")), F.concat(F.lit("%"), F.right(name, F.lit(2))),
         F.regexp_replace(name, ".", "_"), F.concat(F.lit("_"), F.lit("%")), F.concat(name, F.lit("?")),
     ), (F.col("c_custkey") % 6 + 1).cast("int"))
-    sources = table(spark, folder, "customer").join(F.broadcast(nations), F.col("c_nationkey") == F.col("n_nationkey"))
+    sources = table(spark, folder, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     return R.lookup_rule_uri(sources.select("c_custkey", pattern.alias("sourceid")), locations).select(
         "c_custkey", "sourceid", "file_uri"
     )
@@ -490,10 +490,10 @@ def foreach_batch(spark, folder):
 
     def envelopes(batch: DataFrame, batch_id: int) -> None:
         built = S.standardise(P.parse_json(batch), **_given())
-        files.write_batch(flat(outcome.accepted(built)), f"{root}/envelopes", batch_id)
+        files.write_batch(flat(outcome.accepted(built)), f"{root}/envelopes", batch_id, run="replay")
 
     def raw(batch: DataFrame, batch_id: int) -> None:
-        files.archive_raw(batch, root, "security", batch_id)
+        files.archive_raw(batch, root, "security", batch_id, run="replay")
 
     for attempt in ("first", "again"):
         both = run.foreach_batch(envelopes, raw)

@@ -1,25 +1,38 @@
 """Everything written to files.
 
-Each write of a micro-batch goes to partitions that carry the batch's number
-and replaces them, so a batch that is run again leaves one copy.
+Each write goes to partitions that carry the name of its run and replaces only
+them. A micro-batch is named by its stream's id, which the checkpoint keeps, and
+its number: run again it leaves one copy, and a new stream adds to what is
+there. A batch job is named by its caller, or else by a new name each time. A
+caller that wants a replay from a new checkpoint to replace the old rows names
+the run itself.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 _REPLACE = {"partitionOverwriteMode": "dynamic"}
 
 
+def run_name(spark: SparkSession, batch_id: int | str | None) -> str:
+    """The run a write belongs to: the stream's id, a new name, or the caller's name (its batch)."""
+    stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return stream or (uuid.uuid4().hex if batch_id is None else "named")
+
+
 def write_batch(
-    df: DataFrame, path: str, batch_id: int | str = 0, partition_by: tuple[str, ...] = (), fmt: str = "parquet"
+    df: DataFrame, path: str, batch_id: int | str | None = None, partition_by: tuple[str, ...] = (), fmt: str = "parquet",
+    run: str | None = None,
 ) -> None:
     """Write one batch's rows, replacing what an earlier attempt of the same batch wrote.
 
     `partition_by` columns come first, so that a filter on them prunes files.
     """
-    columns = [*partition_by, "batch"]
-    numbered = df.withColumn("batch", F.lit(str(batch_id)))
+    columns = [*partition_by, "batch", "run"]
+    numbered = df.withColumns({"batch": F.lit(str(batch_id or 0)), "run": F.lit(run or run_name(df.sparkSession, batch_id))})
     numbered.write.format(fmt).mode("overwrite").options(**_REPLACE).partitionBy(*columns).save(path)
 
 
@@ -27,7 +40,7 @@ def _day():
     return F.date_format(F.to_utc_timestamp("timestamp", F.current_timezone()), "yyyyMMdd")
 
 
-def archive_raw(df: DataFrame, root: str, app: str, batch_id: int | str = 0, fmt: str = "parquet") -> str:
+def archive_raw(df: DataFrame, root: str, app: str, batch_id: int | str | None = None, fmt: str = "parquet", run: str | None = None) -> str:
     """Messages as received below ``root/app/RAW``, by the UTC day of each message. Returns the folder.
 
     With ``fmt="text"`` a row is ``received | key | value`` on one line per message.
@@ -39,13 +52,13 @@ def archive_raw(df: DataFrame, root: str, app: str, batch_id: int | str = 0, fmt
             " | ", F.col("timestamp").cast("string"), F.coalesce("key", F.lit("")),
             F.make_valid_utf8(F.col("value").cast("string")),
         )
-        write_batch(dated.select(text.alias("line"), "day"), path, batch_id, ("day",), "text")
+        write_batch(dated.select(text.alias("line"), "day"), path, batch_id, ("day",), "text", run)
     else:
-        write_batch(dated.select("timestamp", "topic", "key", "value", "day"), path, batch_id, ("day",))
+        write_batch(dated.select("timestamp", "topic", "key", "value", "day"), path, batch_id, ("day",), run=run)
     return path
 
 
-def archive_parsed(df: DataFrame, root: str, app: str, batch_id: int | str = 0, json_col: str = "json") -> str:
+def archive_parsed(df: DataFrame, root: str, app: str, batch_id: int | str | None = None, json_col: str = "json") -> str:
     """Parsed messages as JSON lines below ``root/app/PARSED``; rows without JSON text are left out."""
     path = f"{root}/{app}/PARSED"
     lines = df.withColumn("day", _day()).select(F.col(json_col).alias("line"), "day").where("line IS NOT NULL")
@@ -53,7 +66,7 @@ def archive_parsed(df: DataFrame, root: str, app: str, batch_id: int | str = 0,
     return path
 
 
-def write_errors(letters: DataFrame, path: str, batch_id: int | str = 0) -> str:
+def write_errors(letters: DataFrame, path: str, batch_id: int | str | None = None) -> str:
     """Dead letters as a table, by the step that set them aside."""
     write_batch(letters, path, batch_id, ("stage",))
     return path

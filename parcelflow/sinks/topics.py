@@ -8,7 +8,7 @@ from .files import write_batch
 
 
 def publish(
-    df: DataFrame, topic: str, path: str | None = None, batch_id: int | str = 0, value: str = "value", **options: str
+    df: DataFrame, topic: str, path: str | None = None, batch_id: int | str | None = None, value: str = "value", **options: str
 ) -> None:
     """Value bytes to one topic, without a key.
 

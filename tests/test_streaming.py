@@ -1,6 +1,7 @@
 """Streams give what a batch gives, also after a restart."""
 
 import json
+import glob
 import os
 
 import pytest
@@ -84,10 +85,10 @@ def test_steps_share_one_batch(spark, topic_folder, tmp_path):
 
     def first(batch, batch_id):
         seen.append(batch.is_cached)
-        files.write_batch(batch.select("topic"), f"{root}/a", batch_id)
+        files.write_batch(batch.select("topic"), f"{root}/a", batch_id, run="steps")
 
     def second(batch, batch_id):
-        files.write_batch(batch.select("topic"), f"{root}/b", batch_id)
+        files.write_batch(batch.select("topic"), f"{root}/b", batch_id, run="steps")
 
     stream = read_messages(spark, TOPICS, "stream", topic_folder)
     for keep in (True, False):
@@ -123,12 +124,12 @@ def test_other_jobs(spark, topic_folder, tmp_path):
     total = messages.count()
     bad = P.parse_json(messages).where("msg IS NULL").count()
     jobs.registry_job(messages, jobs.Target(root, "registry"))
-    jobs.simple_job(messages, jobs.Target(root, "simple"), "source")
+    jobs.simple_job(messages, jobs.Target(root, "simple"), "source", partitions=6)
     whole, simple = published(spark, root, "registry"), published(spark, root, "simple")
     assert whole.count() == total - bad and simple.count() == total
     assert {(r.sourceid, r.messagetype) for r in whole.select("sourceid", "messagetype").distinct().collect()} == {("default", "REGISTRY_RESPONSE")}
     assert not os.path.exists(f"{root}/simple/PARSED")
-    assert len([f for f in os.listdir(f"{root}/simple/TOPIC/topic=envelopes/batch=0") if f.endswith(".parquet")]) == 6
+    assert len(glob.glob(f"{root}/simple/TOPIC/topic=envelopes/batch=0/*/*.parquet")) == 6
 
 
 def test_half_of_all_rows_in_one_key(spark, folder):
