@@ -60,12 +60,13 @@ def repeated_chunks(rows: DataFrame) -> DataFrame:
     """(version, first, n_lines): the chunks to remove, all but the first of each.
 
     Occurrences are aggregated by hash before the shuffle; only chunks whose
-    hash occurs twice are kept, compared by their bytes, and marked.
+    hash occurs twice are kept, compared by their bytes, and marked. Joins are
+    sorted ones at every size, since what repeats grows with the documents.
     """
     place = F.struct("doc_id", "version", "first").alias("place")
     every = chunks(rows).withColumn("hash", F.xxhash64("body"))
     twice = every.select("hash", place).groupBy("hash").agg(F.min("place").alias("_a"), F.max("place").alias("_b")).where("_a != _b")
-    some = stored(every.join(twice.select("hash"), "hash").select("hash", "body", "n_lines", place), "chunks")
+    some = stored(every.join(twice.select("hash").hint("merge"), "hash").select("hash", "body", "n_lines", place), "chunks")
     firsts = some.groupBy("hash", "body").agg(F.min("place").alias("kept"))
     again = some.join(firsts, ["hash", "body"]).where("place != kept")
     return again.select("place.version", "place.first", "n_lines").distinct()
@@ -80,7 +81,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = _rows(docs, id_col, text_col)
     gone = repeated_chunks(rows).select("version", F.sequence(F.col("first"), F.col("first") + F.col("n_lines") - 1).alias("numbers"))
     gone = stored(gone.groupBy("version").agg(F.array_sort(F.flatten(F.collect_list("numbers"))).alias("removed")), "removed")
-    both = rows.join(gone, "version", "left").withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
+    both = rows.join(gone.hint("merge"), "version", "left").withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
 
     def rest(lines: Column) -> Column:
         left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("removed"))
