@@ -29,8 +29,9 @@ def message_key() -> Column:
 
 
 def create_date(clock: Column, pattern: str = ISO_MILLIS) -> Column:
-    """UTC clock text whatever the session's time zone."""
-    return F.date_format(F.to_utc_timestamp(clock, F.current_timezone()), pattern)
+    """UTC clock text whatever the session's time zone, also in the hours its clock skips or repeats."""
+    text = F.to_csv(F.struct(clock.cast("timestamp")), {"timeZone": "UTC", "timestampFormat": pattern})
+    return F.when(clock.isNotNull(), text)
 
 
 def request_members(record: str) -> str:

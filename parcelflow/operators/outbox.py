@@ -10,6 +10,7 @@ from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.envelope import create_date
 from ..schemas import OUTBOX
 from .lookup import left_lookup
 from .outcome import error_reports
@@ -109,7 +110,7 @@ _ANSWER = "request string, answer string, ok boolean, fetched_at timestamp, hour
 
 
 def _hour(clock: Column) -> Column:
-    return F.date_format(F.to_utc_timestamp(clock, F.current_timezone()), "yyyyMMddHH")
+    return create_date(clock, "yyyyMMddHH")
 
 
 def _recent(spark: SparkSession, cache: str, now: Column, ttl: str) -> DataFrame:

@@ -9,14 +9,26 @@ from ..session import configure
 from .outcome import problem
 
 
+# What Spark's JSON parser takes.
+MOST_BYTES, MOST_LEVELS = 16 * 1024 * 1024, 1000
+
+
 def parse_json(df: DataFrame, col: str = "value") -> DataFrame:
-    """Adds `text`, `msg` (VARIANT of a JSON object) and `error` for everything else."""
+    """Adds `text`, `msg` (VARIANT of a JSON object) and `error` for everything else.
+
+    Spark's parser takes values below 16 MiB and 1000 levels. What it refuses
+    and may be beyond that is set aside under a stage of its own, LIMIT.
+    """
     configure(df.sparkSession)
     bad = problem("PARSE", "message is not a JSON object", "malformed input", "parse_json")
+    beyond = problem("LIMIT", "message may be larger or deeper than the parser takes", "beyond the limits", "parse_json")
+    opened = "octet_length(text) - octet_length(replace(replace(text, '{', ''), '[', ''))"
     return (
         df.selectExpr("*", f"{J.utf8_text(col)} AS text")
         .selectExpr("*", f"{J.parse_object('text')} AS msg")
-        .selectExpr("*", f"CASE WHEN msg IS NULL THEN {bad} END AS error")
+        .selectExpr("*", f"""CASE WHEN msg IS NOT NULL THEN NULL
+            WHEN startswith(text, '{{') AND (octet_length(text) >= {MOST_BYTES} OR {opened} >= {MOST_LEVELS}) THEN {beyond}
+            ELSE {bad} END AS error""")
     )
 
 

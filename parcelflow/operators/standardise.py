@@ -217,9 +217,17 @@ def _outer_problem() -> str:
     END"""
 
 
-def of_route(standardised: DataFrame, name: str) -> DataFrame:
-    """The rows one route handled."""
-    return standardised.where(F.col("route") == name)
+def of_route(messages: DataFrame, *names: str, routes: tuple[Route, ...] = ROUTES) -> DataFrame:
+    """The messages the named routes will handle, by tests of the topic that reach the scan."""
+    chosen = F.lit(False)
+    for at, r in enumerate(routes):
+        if r.name in names:
+            taken = [e.prefix for e in routes[:at] if e.prefix.startswith(r.prefix) or r.prefix.startswith(e.prefix)]
+            test = F.col("topic").startswith(r.prefix)
+            for prefix in taken:
+                test = test & ~F.col("topic").startswith(prefix)
+            chosen = chosen | test
+    return messages.where(chosen)
 
 
 def registry_whole_message(

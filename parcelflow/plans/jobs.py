@@ -74,25 +74,42 @@ def simple_job(
 
 def business_job(
     messages: DataFrame,
-    rules: DataFrame,
+    rules: DataFrame | Callable[[], DataFrame],
     send: Callable[[dict], str],
     target: Target,
     batch_id: int | str | None = None,
     jdbc: dict | None = None,
+    error_uri: str | None = None,
 ) -> None:
-    """Envelopes to rules to requests. Results are written once per batch; SQL rows go to `jdbc` when given."""
+    """Envelopes to rules to requests. Results are written once per batch.
+
+    `rules` may be a function, which reads them anew for every batch of a
+    stream. SQL rows go to `jdbc`, the options of `insert_sql`, under the
+    message's own time, so that a batch run again repeats their keys. Rows that
+    have nowhere to go, for want of `jdbc` or a channel, become errors. With
+    `error_uri` every error is also sent to the exception index.
+    """
+    rules = rules() if callable(rules) else rules
     files.archive_raw(messages, target.root, target.app, batch_id)
     decoded = avro.decode_avro(messages, "value", ENVELOPE_AVRO).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         bad = outcome.problem("DECODE", "message is not an envelope", "malformed input", "business_job")
-        letters = decoded.where("envelope IS NULL").withColumn("error", F.expr(bad))
-        files.write_errors(outcome.dead_letters(letters), f"{target.root}/{target.app}/ERRORS", batch_id)
         read = decoded.where("envelope IS NOT NULL")
         files.archive_parsed(read.withColumn("json", F.to_json("envelope")), target.root, target.app, batch_id)
-        fired = R.evaluate_rules(R.select_ruleset(read.select("envelope.*"), rules), rules)
+        received = ("topic", "key", "value", "timestamp")
+        fired = R.evaluate_rules(R.select_ruleset(read.select(*received, "envelope.*"), rules), rules)
+        lost = "channel IS NULL" if jdbc is not None else "channel IS NULL OR channel = 'SQL'"
+        nowhere = outcome.problem(
+            "DELIVER", "concat('rule ', coalesce(rule_id, ''), ' has no channel or store to go to')", "not delivered", "business_job", quoted=False)
+        failed = decoded.where("envelope IS NULL").select(*received, F.expr(bad).alias("error"))
+        unplaced = fired.where(lost).select(*received, F.expr(nowhere).alias("error"))
+        letters = outcome.dead_letters(failed.unionByName(unplaced))
+        files.write_errors(letters, f"{target.root}/{target.app}/ERRORS", batch_id)
         requests = O.build_outbox(fired.where("channel != 'SQL'"))
+        if error_uri is not None:
+            requests = requests.unionByName(O.error_outbox(letters, error_uri))
         files.write_batch(O.deliver(requests, send), f"{target.root}/{target.app}/RESULTS", batch_id)
         if jdbc is not None:
-            tables.insert_sql(tables.sql_rows(fired.where("channel = 'SQL'")), **jdbc)
+            tables.insert_sql(tables.sql_rows(fired.where("channel = 'SQL'"), F.col("timestamp")), **jdbc)
     finally:
         decoded.unpersist()

@@ -52,8 +52,8 @@ def _flat_request(df: DataFrame, *keep: str) -> DataFrame:
 
 
 def _of_route(spark: SparkSession, folder: str, *routes: str) -> DataFrame:
-    chosen = _standardised(spark, folder).where(F.col("route").isin(*routes))
-    return flat(outcome.accepted(chosen))
+    chosen = S.of_route(event_messages(spark, folder), *routes)
+    return flat(outcome.accepted(S.standardise(P.parse_json(chosen), **_given())))
 
 
 # Sources

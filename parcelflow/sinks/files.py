@@ -14,6 +14,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.envelope import create_date
+
 _REPLACE = {"partitionOverwriteMode": "dynamic"}
 
 
@@ -37,7 +39,7 @@ def write_batch(
 
 
 def _day():
-    return F.date_format(F.to_utc_timestamp("timestamp", F.current_timezone()), "yyyyMMdd")
+    return create_date(F.col("timestamp"), "yyyyMMdd")
 
 
 def archive_raw(df: DataFrame, root: str, app: str, batch_id: int | str | None = None, fmt: str = "parquet", run: str | None = None) -> str:

@@ -23,7 +23,8 @@ def insert_sql(
     """
     unsent = rows if stored is None else rows.join(stored, ["CREATED_TIME", "id"], "left_anti")
     (
-        unsent.write.format("jdbc")
+        # Dealt out last: the writer would run all that comes before in so few tasks.
+        unsent.repartition(connections).write.format("jdbc")
         .options(url=url, dbtable=table, numPartitions=str(connections), **options)
         .mode("append")
         .save()

@@ -10,15 +10,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..sinks.files import write_batch
 
-# Batch intervals of the jobs.
-INTERVALS = {
-    "business": "200 milliseconds",
-    "security": "500 milliseconds",
-    "registry": "500 milliseconds",
-    "simple": "1 second",
-    "consumer": "2 seconds",
-}
-
 Step = Callable[[DataFrame, int], None]
 
 

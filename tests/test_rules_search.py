@@ -59,6 +59,31 @@ def test_inline_rules_need_no_join(spark):
     assert "Join" not in plan and "Exchange" not in plan
 
 
+@pytest.mark.parametrize("inline", [200, 0])
+def test_a_value_a_condition_cannot_read_ends_nothing(spark, inline):
+    rules = spark.createDataFrame(
+        [rule("a", "n", "CAST(payload AS INT) > 1 -- a number"), rule("b", "x", "payload = 'x'"), rule("b", "y", "payload > 1")], RULE)
+    rows = [("1", "a", "T", "x"), ("2", "b", "T", "x"), ("3", "a", "T", "7"), ("4", "b", "T", "7"), ("5", "b", "T", None)]
+    fired = R.evaluate_rules(R.select_ruleset(envelopes(spark, rows), rules), rules, inline=inline)
+    assert sorted((r.messageid, r.rule_id) for r in fired.collect()) == [("2", "x"), ("3", "n"), ("4", "y")]
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+
+
+@pytest.mark.parametrize("extra", [0, 195, 196, 4995])
+def test_catalogue_size_does_not_change_what_fires(spark, extra):
+    many = RULES + [rule("a", f"z{n}", f"messagetype = 'none{n}'") for n in range(extra)]
+    rules = spark.createDataFrame(many, RULE)
+    fired = R.evaluate_rules(R.select_ruleset(envelopes(spark, MESSAGES), rules), rules)
+    assert {(r.messageid, r.ruleset, r.rule_id) for r in fired.collect()} == EXPECTED
+
+
+def test_too_many_conditions_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(R, "MOST_CONDITIONS", 2)
+    rules = spark.createDataFrame([rule("a", str(n), f"length(payload) = {n}") for n in range(3)], RULE)
+    with pytest.raises(ValueError, match="more than 2 conditions"):
+        R.evaluate_rules(envelopes(spark, MESSAGES).withColumn("ruleset", F.lit("a")), rules, inline=0)
+
+
 def test_small_tables_are_broadcast_and_large_ones_salted(spark):
     left = spark.createDataFrame([(n, "hot" if n % 3 == 0 else str(n)) for n in range(300)] + [(999, None)], "n int, k string")
     right = spark.createDataFrame([("hot", 1), ("1", 2), ("unused", 3)], "k string, v int")
@@ -103,6 +128,15 @@ def test_rule_location_lookup(spark):
         assert got[n] == (max(hits)[1] if hits else None), pattern
 
 
+def test_ids_that_share_their_beginning_are_not_compared_with_all(spark):
+    """An underscore is a wildcard and common in ids: each id finds its own place by the part that is rare."""
+    places = spark.range(1000).selectExpr("format_string('device_%06d', id) AS sourceid", "concat('u', id) AS file_uri", "id AS load_seq")
+    found = R.lookup_rule_uri(places.select("sourceid", F.col("file_uri").alias("want")), places)
+    assert found.where("file_uri = want").count() == 1000
+    kept = R._wildcard_uris(places.select("sourceid"), places)
+    assert kept.count() == 1000
+
+
 def walk(tree, matches):
     """Plain depth-first search: a matching key ends its level, a null result lets the parent go on."""
     for key, value in tree.items():

@@ -8,7 +8,7 @@ import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
-from parcelflow.operators import avro, outcome, parse as P, standardise as S
+from parcelflow.operators import avro, outcome, parse as P, rules as R, standardise as S
 from parcelflow.plans import jobs
 from parcelflow.plans.message_tables import event_messages
 from parcelflow.schemas import ENVELOPE_AVRO
@@ -115,7 +115,56 @@ def test_whole_chain(spark, topic_folder, tmp_path):
     assert results.count() == stored.count() - to_store
     assert {r.result for r in results.select("result").distinct().collect()} == {
         '["REST", "POST"]', '["REST", "PUT"]', '["MQTT", "PUBLISH"]', '["ES", "POST"]'}
-    assert [r.stage for r in spark.read.parquet(f"{root}/business/ERRORS").collect()] == ["DECODE"]
+    errors = sorted(r.stage for r in spark.read.parquet(f"{root}/business/ERRORS").collect())
+    assert errors == ["DECODE"] + ["DELIVER"] * to_store and to_store > 0
+    # Rules read per batch, and every error also sent.
+    jobs.business_job(envelopes.unionByName(broken), lambda: rules, lambda request: request["rule_id"],
+                      jobs.Target(root, "reported"), error_uri="http://errors")
+    sent = spark.read.parquet(f"{root}/reported/RESULTS").groupBy("result").count().collect()
+    assert {r.result: r["count"] for r in sent}["exception_index"] == len(errors)
+
+
+def test_rule_without_a_channel_is_an_error(spark, topic_folder, tmp_path):
+    root = str(tmp_path)
+    messages = read_messages(spark, "in.topic.oneid", "batch", topic_folder)
+    jobs.security_job(messages, jobs.Target(root, "security"))
+    envelopes = spark.read.parquet(f"{root}/security/TOPIC").withColumns(
+        {"timestamp": F.current_timestamp(), "key": F.lit(None).cast("string")})
+    rules = default_rules(spark, "r", "i", "b", "s").withColumn("channel", F.lit(None).cast("string"))
+    fired = R.evaluate_rules(R.select_ruleset(published(spark, root, "security"), rules), rules).count()
+    jobs.business_job(envelopes, rules, lambda request: "", jobs.Target(root, "business"))
+    errors = spark.read.parquet(f"{root}/business/ERRORS")
+    assert [r.stage for r in errors.select("stage").distinct().collect()] == ["DELIVER"] and errors.count() == fired > 0
+
+
+def test_topic_test_of_a_route_reaches_the_scan(spark, topic_folder):
+    messages = read_messages(spark, TOPICS, "batch", topic_folder)
+    assert "StringStartsWith(topic,device.event)" in plan_of(P.parse_json(S.of_route(messages, "device_event")))
+    routed = S.route(messages).select("offset", "route").collect()
+    for route in S.ROUTES:
+        mine = {r.offset for r in S.of_route(messages, route.name).collect()}
+        assert mine == {r.offset for r in routed if r.route == route.name}
+
+
+def test_clock_text_in_a_zone_that_skips_an_hour(spark):
+    from parcelflow.functions import envelope as E
+
+    instants = ["2024-03-10 02:30:00", "2024-03-10 07:30:00", "2024-11-03 05:30:00", "2024-11-03 06:30:00", None]
+    frame = spark.createDataFrame([(t,) for t in instants], "t string").selectExpr(
+        "CAST(CASE WHEN t IS NOT NULL THEN concat(t, ' UTC') END AS timestamp) AS t")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rows = frame.select(E.create_date(F.col("t")).alias("iso"), E.create_date(F.col("t"), E.TWELVE_HOUR).alias("twelve")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [r.iso for r in rows] == [t and t.replace(" ", "T") + ".000Z" for t in instants]
+    assert [r.twelve for r in rows] == ["2024-03-10 02:30:00", "2024-03-10 07:30:00", "2024-11-03 05:30:00", "2024-11-03 06:30:00", None]
+
+
+def test_message_beyond_the_parser(spark):
+    deep = '{"a":' * 1200 + "1" + "}" * 1200
+    frame = spark.createDataFrame([(1, b"{bad"), (2, deep.encode()), (3, b'{"a":1}')], "n int, value binary")
+    assert {r.n: r.stage for r in P.parse_json(frame).select("n", "error.stage").collect()} == {1: "PARSE", 2: "LIMIT", 3: None}
 
 
 def test_other_jobs(spark, topic_folder, tmp_path):
