@@ -36,7 +36,8 @@ def build_outbox(fired: DataFrame) -> DataFrame:
     A rule's own `path` and `header` win over the message's. GET asks for the
     payload as path and has no body; a rule with schema ``registry`` sends the
     registry request alone, every other the whole envelope. MQTT requests carry
-    `clientId` and `qos` as headers.
+    `clientId` and `qos` as headers. A request keeps its rule's salience, so
+    that a receiver can keep the order in which the rules of a message rank.
     """
     request, params = F.col("registrypayload"), F.col("params")
     path = F.coalesce(
@@ -59,7 +60,7 @@ def build_outbox(fired: DataFrame) -> DataFrame:
         F.when(F.col("channel") == "MQTT", mqtt)
         .otherwise(_headers(F.coalesce(params["header"], request["header"])))
         .alias("headers"),
-        body.alias("body"), schema_ref.alias("schema_ref"),
+        body.alias("body"), schema_ref.alias("schema_ref"), "salience",
     ).select(*OUTBOX.names)
 
 
@@ -70,6 +71,7 @@ def error_outbox(letters: DataFrame, uri: str, path: str = "exceptions") -> Data
         position.alias("messageid"), F.lit("errors").alias("ruleset"), F.lit("exception_index").alias("rule_id"),
         F.lit("ES").alias("channel"), F.lit("POST").alias("method"), F.lit(uri).alias("uri"),
         F.lit(path).alias("path"), _headers(F.lit("")).alias("headers"), "body", F.lit("none").alias("schema_ref"),
+        F.lit(0).alias("salience"),
     ).select(*OUTBOX.names)
 
 

@@ -218,7 +218,7 @@ ORACLES = {
     "build_outbox": f"""
         WITH {EVENTS}, {FIRED}
         SELECT messageid, ruleset, rule_id, channel, action AS method, target AS uri, path,
-          CASE WHEN channel = 'MQTT' THEN request_json ELSE {ENVELOPE_JSON} END AS body, schema_ref,
+          CASE WHEN channel = 'MQTT' THEN request_json ELSE {ENVELOPE_JSON} END AS body, schema_ref, salience,
           CASE WHEN channel = 'REST' THEN 'application/json' END AS content_type,
           CASE WHEN channel = 'MQTT' THEN '1' END AS qos FROM box""",
     "deliver": f"""

@@ -401,7 +401,7 @@ def _requests(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def build_outbox(spark, folder):
     return _requests(spark, folder).select(
-        "messageid", "ruleset", "rule_id", "channel", "method", "uri", "path", "body", "schema_ref",
+        "messageid", "ruleset", "rule_id", "channel", "method", "uri", "path", "body", "schema_ref", "salience",
         F.col("headers")["Content-Type"].alias("content_type"), F.col("headers")["qos"].alias("qos"),
     )
 

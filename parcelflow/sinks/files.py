@@ -42,10 +42,15 @@ def _day():
     return create_date(F.col("timestamp"), "yyyyMMdd")
 
 
+def _one_line(text):
+    return F.replace(F.replace(text, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+
 def archive_raw(df: DataFrame, root: str, app: str, batch_id: int | str | None = None, fmt: str = "parquet", run: str | None = None) -> str:
     """Messages as received below ``root/app/RAW``, by the UTC day of each message. Returns the folder.
 
-    With ``fmt="text"`` a row is ``received | key | value`` on one line per message.
+    With ``fmt="text"`` a row is ``received | key | value`` on one line per
+    message; line breaks in it are written as \\n and \\r.
     """
     path = f"{root}/{app}/RAW"
     dated = df.withColumn("day", _day())
@@ -54,7 +59,7 @@ def archive_raw(df: DataFrame, root: str, app: str, batch_id: int | str | None =
             " | ", F.col("timestamp").cast("string"), F.coalesce("key", F.lit("")),
             F.make_valid_utf8(F.col("value").cast("string")),
         )
-        write_batch(dated.select(text.alias("line"), "day"), path, batch_id, ("day",), "text", run)
+        write_batch(dated.select(_one_line(text).alias("line"), "day"), path, batch_id, ("day",), "text", run)
     else:
         write_batch(dated.select("timestamp", "topic", "key", "value", "day"), path, batch_id, ("day",), run=run)
     return path
@@ -75,6 +80,6 @@ def write_errors(letters: DataFrame, path: str, batch_id: int | str | None = Non
 
 
 def overwrite_text(df: DataFrame, path: str, col: str = "value") -> str:
-    """Replace a text file (a folder of parts) by one line per row."""
-    df.select(F.col(col).cast("string").alias("value")).write.mode("overwrite").text(path)
+    """Replace a text file (a folder of parts) by one line per row; line breaks are written as \\n and \\r."""
+    df.select(_one_line(F.col(col).cast("string")).alias("value")).write.mode("overwrite").text(path)
     return path

@@ -161,6 +161,14 @@ def test_clock_text_in_a_zone_that_skips_an_hour(spark):
     assert [r.twelve for r in rows] == ["2024-03-10 02:30:00", "2024-03-10 07:30:00", "2024-11-03 05:30:00", "2024-11-03 06:30:00", None]
 
 
+def test_one_line_per_message(spark, tmp_path):
+    frame = spark.createDataFrame([("a\nb\r\nc",), ("d",)], "value string")
+    assert sorted(r.value for r in spark.read.text(files.overwrite_text(frame, f"{tmp_path}/t")).collect()) == ["a\\nb\\r\\nc", "d"]
+    messages = frame.selectExpr("timestamp'2024-01-01' AS timestamp", "'t' AS topic", "'k' AS key", "CAST(value AS BINARY) AS value")
+    path = files.archive_raw(messages, str(tmp_path), "app", fmt="text")
+    assert spark.read.text(path).count() == 2
+
+
 def test_message_beyond_the_parser(spark):
     deep = '{"a":' * 1200 + "1" + "}" * 1200
     frame = spark.createDataFrame([(1, b"{bad"), (2, deep.encode()), (3, b'{"a":1}')], "n int, value binary")
