@@ -65,10 +65,14 @@ def build_outbox(fired: DataFrame) -> DataFrame:
 
 
 def error_outbox(letters: DataFrame, uri: str, path: str = "exceptions") -> DataFrame:
-    """Dead letters as requests to the exception index."""
-    position = F.md5(F.concat_ws("/", F.col("topic"), F.col("key"), F.base64("value"), F.col("ts").cast("string")))
+    """Dead letters as requests to the exception index.
+
+    A request's id is a hash of the message's position and what is wrong with
+    it, so equal messages have different ids and a replay has the same.
+    """
+    told = F.to_json(F.struct("topic", "partition", "offset", "key", F.base64("value").alias("value"), F.unix_micros("ts").alias("ts"), "stage", "exception"))
     return error_reports(letters).select(
-        position.alias("messageid"), F.lit("errors").alias("ruleset"), F.lit("exception_index").alias("rule_id"),
+        F.md5(told).alias("messageid"), F.lit("errors").alias("ruleset"), F.lit("exception_index").alias("rule_id"),
         F.lit("ES").alias("channel"), F.lit("POST").alias("method"), F.lit(uri).alias("uri"),
         F.lit(path).alias("path"), _headers(F.lit("")).alias("headers"), "body", F.lit("none").alias("schema_ref"),
         F.lit(0).alias("salience"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import json_text as J
 from ..schemas import DEAD_LETTER, ENVELOPE, ERROR
+from .lookup import left_lookup
 
 
 def problem(stage: str, exception: str, cause: str, trace: str, quoted: bool = True) -> str:
@@ -47,9 +48,11 @@ def accepted(df: DataFrame) -> DataFrame:
 
 
 def dead_letters(df: DataFrame) -> DataFrame:
+    """Rows with an error, as messages with their position and what is wrong; a frame without positions gives NULL."""
+    position = [F.col(n) if n in df.columns else F.lit(None).cast(DEAD_LETTER[n].dataType).alias(n) for n in ("partition", "offset")]
     return (
         df.where("error IS NOT NULL")
-        .select("topic", "key", "value", "error.*", F.col("timestamp").alias("ts"))
+        .select("topic", *position, "key", "value", "error.*", F.col("timestamp").alias("ts"))
         .select(*DEAD_LETTER.names)
     )
 
@@ -66,6 +69,21 @@ def security_check(df: DataFrame, predicate: Column | None = None) -> DataFrame:
     return df.withColumn("error", F.coalesce("error", F.when(~F.coalesce(predicate, F.lit(False)), refused)))
 
 
+def security_check_by_token(df: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Set aside messages whose `authentication` is not a token of their `sourceid`.
+
+    `tokens` has `sourceid` and `token`, any number of tokens per source;
+    repeated and NULL ones count for nothing. A message without either member
+    is refused. An earlier error is kept.
+    """
+    said = df.withColumns({
+        "_source": F.try_variant_get("msg", "$.sourceid", "string"), "_token": F.try_variant_get("msg", "$.authentication", "string"),
+    })
+    known = tokens.select(F.col("sourceid").alias("_source"), F.col("token").alias("_token")).distinct()
+    checked = left_lookup(said, known.withColumn("_known", F.lit(True)), ["_source", "_token"])
+    return security_check(checked, F.col("_known")).select(*df.columns)
+
+
 def error_reports(letters: DataFrame) -> DataFrame:
     """Adds `body`: what the exception index stores for a dead letter.
 

@@ -10,18 +10,22 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.envelope import TWELVE_HOUR
 from ..operators import avro, outbox as O, outcome, parse, rules as R, standardise as S
-from ..schemas import ENVELOPE, ENVELOPE_AVRO
+from ..schemas import ENVELOPE, ENVELOPE_AVRO, MESSAGE
 from ..sinks import files, tables, topics
 
 
 @dataclass(frozen=True)
 class Target:
-    """Where a job writes: one folder tree, or the bus for the output topic when `bus` is given."""
+    """Where a job writes: one folder tree, or the bus for the output topic when `bus` is given.
+
+    Envelopes are published in `encoding`, Avro or JSON text.
+    """
 
     root: str
     app: str
     topic: str = "envelopes"
     bus: dict | None = None
+    encoding: str = "avro"
 
     def publish(self, df: DataFrame, batch_id: int | str | None) -> None:
         if self.bus is None:
@@ -30,20 +34,45 @@ class Target:
             topics.publish(df, self.topic, **self.bus)
 
 
+def pack(envelopes: DataFrame, encoding: str) -> DataFrame:
+    """Adds `value`, the struct `envelope` as bytes in ``avro`` or ``json``."""
+    if encoding == "json":
+        return envelopes.withColumn("value", F.to_json("envelope", {"ignoreNullFields": "false"}).cast("binary"))
+    if encoding == "avro":
+        return avro.encode_avro(envelopes, "envelope", ENVELOPE_AVRO)
+    raise ValueError(f"encoding is avro or json, not {encoding!r}")
+
+
+def unpack(messages: DataFrame, encoding: str) -> DataFrame:
+    """Adds `envelope`, read from `value`; NULL where the bytes are no envelope."""
+    if encoding == "json":
+        read = messages.withColumn("envelope", F.from_json(F.make_valid_utf8(F.col("value").cast("string")), ENVELOPE))
+        return read.withColumn("envelope", F.when(F.col("envelope.messageid").isNotNull(), F.col("envelope")))
+    if encoding == "avro":
+        return avro.decode_avro(messages, "value", ENVELOPE_AVRO)
+    raise ValueError(f"encoding is avro or json, not {encoding!r}")
+
+
+def _checked(messages: DataFrame, check: Column | None, tokens: DataFrame | None) -> DataFrame:
+    """Parsed messages after the security check, by a predicate, a token table or both, with their JSON text."""
+    checked = outcome.security_check(parse.parse_json(messages), check)
+    return parse.message_text(checked if tokens is None else outcome.security_check_by_token(checked, tokens))
+
+
 def _write(messages: DataFrame, built: DataFrame, target: Target, batch_id: int | str | None, keep: bool) -> None:
     """Archive, publish and set aside. `built` carries `envelope`, `error` and, when parsed, `json`.
 
-    The built frame is computed once for all writes; `keep=False` computes it
-    per write instead and needs no room for it.
+    The built frame holds every message and is computed once for all writes, so
+    that the source is read once; `keep=False` computes it per write instead
+    and needs no room for it.
     """
-    files.archive_raw(messages, target.root, target.app, batch_id)
     shared = built.persist(StorageLevel.MEMORY_AND_DISK) if keep else built
     try:
+        files.archive_raw(shared if keep else messages, target.root, target.app, batch_id)
         if "json" in built.columns:
             files.archive_parsed(shared, target.root, target.app, batch_id)
         good, bad = outcome.split_errors(shared)
-        packed = avro.encode_avro(good.select(F.struct(*ENVELOPE.names).alias("envelope")), "envelope", ENVELOPE_AVRO)
-        target.publish(packed, batch_id)
+        target.publish(pack(good.select(F.struct(*ENVELOPE.names).alias("envelope")), target.encoding), batch_id)
         files.write_errors(bad, f"{target.root}/{target.app}/ERRORS", batch_id)
     finally:
         if keep:
@@ -51,17 +80,19 @@ def _write(messages: DataFrame, built: DataFrame, target: Target, batch_id: int
 
 
 def security_job(
-    messages: DataFrame, target: Target, batch_id: int | str | None = None, check: Column | None = None, keep: bool = True, **options
+    messages: DataFrame, target: Target, batch_id: int | str | None = None, check: Column | None = None, keep: bool = True,
+    tokens: DataFrame | None = None, **options,
 ) -> None:
     """JSON topics to envelopes, the shape by topic."""
-    parsed = parse.message_text(outcome.security_check(parse.parse_json(messages), check))
-    _write(messages, S.standardise(parsed, **options), target, batch_id, keep)
+    _write(messages, S.standardise(_checked(messages, check, tokens), **options), target, batch_id, keep)
 
 
-def registry_job(messages: DataFrame, target: Target, batch_id: int | str | None = None, check: Column | None = None, keep: bool = True, **options) -> None:
+def registry_job(
+    messages: DataFrame, target: Target, batch_id: int | str | None = None, check: Column | None = None, keep: bool = True,
+    tokens: DataFrame | None = None, **options,
+) -> None:
     """Registry answers, each whole message as payload."""
-    parsed = parse.message_text(outcome.security_check(parse.parse_json(messages), check))
-    _write(messages, S.registry_whole_message(parsed, **options), target, batch_id, keep)
+    _write(messages, S.registry_whole_message(_checked(messages, check, tokens), **options), target, batch_id, keep)
 
 
 def simple_job(
@@ -80,23 +111,24 @@ def business_job(
     batch_id: int | str | None = None,
     jdbc: dict | None = None,
     error_uri: str | None = None,
+    encoding: str = "avro",
 ) -> None:
     """Envelopes to rules to requests. Results are written once per batch.
 
-    `rules` may be a function, which reads them anew for every batch of a
+    `encoding` is that of the messages, Avro or JSON text. `rules` may be a function, which reads them anew for every batch of a
     stream. SQL rows go to `jdbc`, the options of `insert_sql`, under the
     message's own time, so that a batch run again repeats their keys. Rows that
     have nowhere to go, for want of `jdbc` or a channel, become errors. With
     `error_uri` every error is also sent to the exception index.
     """
     rules = rules() if callable(rules) else rules
-    files.archive_raw(messages, target.root, target.app, batch_id)
-    decoded = avro.decode_avro(messages, "value", ENVELOPE_AVRO).persist(StorageLevel.MEMORY_AND_DISK)
+    decoded = unpack(messages, encoding).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        files.archive_raw(decoded, target.root, target.app, batch_id)
         bad = outcome.problem("DECODE", "message is not an envelope", "malformed input", "business_job")
         read = decoded.where("envelope IS NOT NULL")
         files.archive_parsed(read.withColumn("json", F.to_json("envelope")), target.root, target.app, batch_id)
-        received = ("topic", "key", "value", "timestamp")
+        received = [name for name in MESSAGE.names if name in messages.columns]
         fired = R.evaluate_rules(R.select_ruleset(read.select(*received, "envelope.*"), rules), rules)
         lost = "channel IS NULL" if jdbc is not None else "channel IS NULL OR channel = 'SQL'"
         nowhere = outcome.problem(

@@ -110,3 +110,22 @@ def document_messages(spark: SparkSession, folder: str) -> DataFrame:
         F.col("source").alias("key"),
         F.col("text").cast("binary").alias("value"),
     ).to(MESSAGE)
+
+
+def customer_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """A message per customer, with the customer's token, another's, or none."""
+    customers = spread(table(spark, folder, "customer"))
+    token = _choice(F.col("c_custkey") % 3, "own", "other", None)
+    own = F.concat(F.lit("t-"), F.col("c_custkey"))
+    members = F.struct(
+        F.col("c_name").alias("sourceid"), F.col("c_mktsegment").alias("payload"), F.lit("TELEMETRY").alias("messagetype"),
+        F.when(token == "own", own).when(token == "other", F.concat(own, F.lit("0"))).alias("authentication"),
+    )
+    return customers.select(
+        F.lit("jsonexternaltopic").alias("topic"),
+        (F.col("c_custkey") % 4).cast("int").alias("partition"),
+        F.col("c_custkey").cast("bigint").alias("offset"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("timestamp"),
+        F.col("c_custkey").cast("string").alias("key"),
+        F.to_json(members).cast("binary").alias("value"),
+    ).to(MESSAGE)

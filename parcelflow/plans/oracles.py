@@ -173,8 +173,11 @@ ORACLES = {
     "security_check": f"""
         WITH {EVENTS} SELECT topic, CASE WHEN junk THEN 'PARSE' WHEN src IS NULL THEN 'SECURITY' ELSE 'ACCEPTED' END AS outcome,
           count(*) AS messages FROM e GROUP BY 1, 2""",
+    "security_check_tokens": """
+        SELECT CAST(c_custkey AS BIGINT) AS "offset", CASE WHEN c_acctbal >= 0 AND c_custkey % 3 = 0 THEN 'ACCEPTED' ELSE 'SECURITY' END AS outcome
+        FROM customer""",
     "split_errors": f"""
-        WITH {EVENTS} SELECT topic, CAST(user_id AS VARCHAR) AS key,
+        WITH {EVENTS} SELECT topic, CAST(user_id % 4 AS INTEGER) AS partition, event_id AS "offset", CAST(user_id AS VARCHAR) AS key,
           CASE WHEN junk THEN 'not json ' || event_id
             WHEN ti = 3 THEN '{{"path":"' || path || '","verb":"POST","payload":' || to_json(props) || ',"txId":"' || id
               || '","deviceId":"' || user_id || '","header":"hub-request"' || COALESCE(',"sourceid":"' || src || '"', '')
@@ -238,5 +241,10 @@ ORACLES = {
     "repartition": "SELECT CAST(6 AS BIGINT) AS partitions, CAST(count(*) AS BIGINT) AS messages FROM events",
     "batch_counts": f"WITH {EVENTS} SELECT topic, CAST(count(*) AS BIGINT) AS messages FROM e GROUP BY topic",
 }
+ORACLES["lookup_rule_text"] = f"""
+    WITH u AS ({ORACLES["lookup_rule_uri"]})
+    SELECT c_custkey, sourceid, file_uri, CASE WHEN n_regionkey > 0 THEN CAST(n_nationkey AS VARCHAR) ELSE 'default' END AS rule_name,
+      CASE WHEN n_regionkey > 0 THEN 'rule of ' || n_name ELSE (SELECT r_name FROM region WHERE r_regionkey = 0) END AS rule
+    FROM u LEFT JOIN nation ON file_uri = 'rules/' || n_nationkey"""
 ORACLES["evaluate_rules_joined"] = ORACLES["evaluate_rules"]
 ORACLES["search_map_first_subkey"] = ORACLES["search_map"]

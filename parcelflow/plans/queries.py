@@ -14,7 +14,7 @@ from ..sinks import files, tables, topics
 from ..sources import messages as source, rules as rule_source
 from ..streaming import run
 from . import jobs
-from .message_tables import TOPICS, conversation_messages, document_messages, event_message_rows, event_messages, table
+from .message_tables import TOPICS, conversation_messages, customer_messages, document_messages, event_message_rows, event_messages, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -283,10 +283,19 @@ def security_check(spark, folder):
     ).agg(F.count(F.lit(1)).alias("messages"))
 
 
+@query
+def security_check_tokens(spark, folder):
+    """Customers that owe nothing have a token."""
+    customers = table(spark, folder, "customer").where("c_acctbal >= 0")
+    tokens = customers.select(F.col("c_name").alias("sourceid"), F.concat(F.lit("t-"), F.col("c_custkey")).alias("token"))
+    checked = outcome.security_check_by_token(P.parse_json(customer_messages(spark, folder)), tokens)
+    return checked.select("offset", F.coalesce("error.stage", F.lit("ACCEPTED")).alias("outcome"))
+
+
 @query
 def split_errors(spark, folder):
     _, letters = outcome.split_errors(_standardised(spark, folder))
-    return letters.select("topic", "key", F.col("value").cast("string").alias("value"), "stage", "exception")
+    return letters.select("topic", "partition", "offset", "key", F.col("value").cast("string").alias("value"), "stage", "exception")
 
 
 def _rules(spark: SparkSession) -> DataFrame:
@@ -298,8 +307,8 @@ def select_ruleset(spark, folder):
     return R.select_ruleset(_envelopes(spark, folder), _rules(spark)).select("messageid", "sourceid", "ruleset")
 
 
-@query
-def lookup_rule_uri(spark, folder):
+def _located(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Customers with an id derived from their nation, as plain text or a pattern, and a location per nation."""
     nations = table(spark, folder, "nation")
     locations = nations.select(
         F.col("n_name").alias("sourceid"), F.concat(F.lit("rules/"), F.col("n_nationkey")).alias("file_uri"),
@@ -311,9 +320,21 @@ def lookup_rule_uri(spark, folder):
         F.regexp_replace(name, ".", "_"), F.concat(F.lit("_"), F.lit("%")), F.concat(name, F.lit("?")),
     ), (F.col("c_custkey") % 6 + 1).cast("int"))
     sources = table(spark, folder, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-    return R.lookup_rule_uri(sources.select("c_custkey", pattern.alias("sourceid")), locations).select(
-        "c_custkey", "sourceid", "file_uri"
-    )
+    return sources.select("c_custkey", pattern.alias("sourceid")), locations
+
+
+@query
+def lookup_rule_uri(spark, folder):
+    return R.lookup_rule_uri(*_located(spark, folder)).select("c_custkey", "sourceid", "file_uri")
+
+
+@query
+def lookup_rule_text(spark, folder):
+    """Nations of the first region have no text of their own and take the default one."""
+    texts = table(spark, folder, "nation").where("n_regionkey > 0").select(
+        F.col("n_nationkey").cast("string").alias("name"), F.concat(F.lit("rule of "), F.col("n_name")).alias("rule"))
+    default = table(spark, folder, "region").where("r_regionkey = 0").select(F.lit("default").alias("name"), F.col("r_name").alias("rule"))
+    return R.lookup_rule_text(*_located(spark, folder), texts.unionByName(default)).select("c_custkey", "sourceid", "file_uri", "rule_name", "rule")
 
 
 def _fired(spark: SparkSession, folder: str, **options) -> DataFrame:

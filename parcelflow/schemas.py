@@ -34,7 +34,7 @@ ENVELOPE = _struct(
 ERROR = _struct(("stage", S), ("exception", S), ("cause", S), ("trace", S))
 
 DEAD_LETTER = _struct(
-    ("topic", S), ("key", S), ("value", B),
+    ("topic", S), ("partition", I), ("offset", L), ("key", S), ("value", B),
     ("stage", S), ("exception", S), ("cause", S), ("trace", S), ("ts", TS),
 )
 

@@ -61,10 +61,24 @@ def archive_raw(df: DataFrame, root: str, app: str, batch_id: int | str | None =
         )
         write_batch(dated.select(_one_line(text).alias("line"), "day"), path, batch_id, ("day",), "text", run)
     else:
-        write_batch(dated.select("timestamp", "topic", "key", "value", "day"), path, batch_id, ("day",), run=run)
+        position = [name for name in ("partition", "offset") if name in df.columns]
+        write_batch(dated.select("timestamp", "topic", *position, "key", "value", "day"), path, batch_id, ("day",), run=run)
     return path
 
 
+def compact(spark: SparkSession, path: str, into: str, day: str, fmt: str = "parquet") -> str:
+    """Copy one finished day of an archive to the folder `into`, in few files. Returns that folder.
+
+    A short interval leaves a folder per batch and run; the copy has one folder
+    per day, with files of the session's advisory size. Run again it replaces
+    the day, so it can be repeated before the day's batch folders are removed.
+    """
+    rows = spark.read.format(fmt).option("basePath", path).load(f"{path}/day={day}").drop("batch", "run")
+    balanced = rows.withColumn("day", F.lit(day)).hint("rebalance")
+    balanced.write.format(fmt).mode("overwrite").options(**_REPLACE).partitionBy("day").save(into)
+    return into
+
+
 def archive_parsed(df: DataFrame, root: str, app: str, batch_id: int | str | None = None, json_col: str = "json") -> str:
     """Parsed messages as JSON lines below ``root/app/PARSED``; rows without JSON text are left out."""
     path = f"{root}/{app}/PARSED"

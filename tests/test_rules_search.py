@@ -206,3 +206,13 @@ def test_rule_texts(spark, tmp_path):
     (tmp_path / "sub" / "b.drl").write_text("rule two")
     got = {r.name: r.rule for r in read_rule_texts(spark, str(tmp_path), "*.drl").collect()}
     assert got == {"a": "rule one\nwhen\nthen\nend", "b": "rule two"}
+
+
+def test_rule_text_by_location(spark):
+    places = spark.createDataFrame([("a", "rules/a.drl", 1), ("b", "sets/b", 1), ("c", "gone.drl", 1)], "sourceid string, file_uri string, load_seq long")
+    texts = spark.createDataFrame([("a", "rule a"), ("b", "rule b"), ("b", "rule b"), ("default", "rule d"), (None, "no name")], "name string, rule string")
+    sources = spark.createDataFrame([(s,) for s in ("a", "b", "c", "other", None)], "sourceid string")
+    got = {r.sourceid: (r.rule_name, r.rule) for r in R.lookup_rule_text(sources, places, texts).collect()}
+    fallback = ("default", "rule d")
+    assert got == {"a": ("a", "rule a"), "b": ("b", "rule b"), "c": fallback, "other": fallback, None: fallback}
+    assert R.lookup_rule_text(sources, places, texts.where("false")).where("rule IS NULL AND rule_name = 'default'").count() == 5

@@ -222,3 +222,19 @@ def test_generated_code_stays_compilable(spark, folder):
     with contextlib.redirect_stdout(text):
         built.explain("codegen")
     assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", text.getvalue()))) < 8000
+
+
+def test_security_check_by_token(spark):
+    said = [
+        '{"sourceid":"s","authentication":"1","messagetype":"A"}', '{"sourceid":"s","authentication":"2","messagetype":"A"}',
+        '{"sourceid":"r","authentication":"1","messagetype":"A"}', '{"authentication":"1","messagetype":"A"}',
+        '{"sourceid":"s","messagetype":"A"}', "bad",
+    ]
+    frame = spark.createDataFrame([("x", 0, n, None, "k", bytearray(v.encode())) for n, v in enumerate(said)], MESSAGE)
+    tokens = spark.createDataFrame([("s", "1"), ("s", "1"), ("s", None), (None, "1"), ("r", "3")], "sourceid string, token string")
+    checked = outcome.security_check_by_token(P.parse_json(frame), tokens)
+    good, bad = outcome.split_errors(S.standardise(checked))
+    assert [r.sourceid for r in good.collect()] == ["s"]
+    assert sorted((r.offset, r.partition, r.stage) for r in bad.collect()) == [
+        (1, 0, "SECURITY"), (2, 0, "SECURITY"), (3, 0, "SECURITY"), (4, 0, "SECURITY"), (5, 0, "PARSE")]
+    assert outcome.security_check_by_token(P.parse_json(frame), tokens.where("false")).where("error IS NULL").count() == 0

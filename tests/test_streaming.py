@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from parcelflow.operators import avro, outcome, parse as P, rules as R, standardise as S
 from parcelflow.plans import jobs
 from parcelflow.plans.message_tables import event_messages
-from parcelflow.schemas import ENVELOPE_AVRO
+from parcelflow.schemas import ENVELOPE_AVRO, MESSAGE
 from parcelflow.sinks import files
 from parcelflow.sources.messages import read_messages, spread
 from parcelflow.sources.rules import default_rules
@@ -212,3 +212,57 @@ def test_spread_only_when_there_are_few_splits(spark):
     few, many = spark.range(100, numPartitions=1), spark.range(100, numPartitions=16)
     assert spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert spread(many) is many
+
+
+def test_envelopes_as_json(spark, topic_folder, tmp_path):
+    root = str(tmp_path)
+    messages = read_messages(spark, "in.topic.oneid", "batch", topic_folder)
+    jobs.security_job(messages, jobs.Target(root, "security", encoding="json"))
+    sent = spark.read.parquet(f"{root}/security/TOPIC").withColumns({"timestamp": F.current_timestamp(), "key": F.lit(None).cast("string")})
+    broken = sent.limit(2).withColumn("value", F.unhex(F.lit("FFFF")))
+    rules = default_rules(spark, "r", "i", "b", "s")
+    jobs.business_job(sent.unionByName(broken), rules, lambda request: "", jobs.Target(root, "business"), encoding="json")
+    errors = spark.read.parquet(f"{root}/business/ERRORS")
+    assert errors.where("stage = 'DECODE'").count() == 2
+    assert spark.read.parquet(f"{root}/business/RESULTS").count() + errors.where("stage = 'DELIVER'").count() == sent.count() > 0
+    assert spark.read.parquet(f"{root}/business/RAW").count() == sent.count() + 2
+    with pytest.raises(ValueError, match="encoding"):
+        jobs.pack(sent, "xml")
+
+
+def test_equal_dead_letters_have_ids_of_their_own(spark):
+    from parcelflow.operators import outbox
+
+    rows = [("x", p, 1, None, "k", bytearray(b"bad")) for p in (0, 1)]
+    letters = outcome.dead_letters(P.parse_json(spark.createDataFrame(rows, MESSAGE)))
+    first, again = ({r.messageid for r in outbox.error_outbox(letters, "u").collect()} for _ in range(2))
+    assert first == again and len(first) == 2
+
+
+def test_compacted_day_holds_every_row_once(spark, topic_folder, tmp_path):
+    messages = read_messages(spark, TOPICS, "batch", topic_folder)
+    path = [files.archive_raw(messages, str(tmp_path), "app", batch, run="r") for batch in (1, 2)][0]
+    kept = spark.read.parquet(path)
+    day = kept.select(F.col("day").cast("string")).first()[0]
+    for _ in range(2):
+        files.compact(spark, path, f"{tmp_path}/days", day)
+    want = kept.where(F.col("day") == day)
+    assert spark.read.parquet(f"{tmp_path}/days").count() == want.count() > 0
+    assert len(glob.glob(f"{tmp_path}/days/day=*/*.parquet")) == 1
+    assert {"partition", "offset"} <= set(kept.columns)
+
+
+def test_a_batch_reads_its_source_once(spark, topic_folder, tmp_path):
+    """What the archive writes comes from the frame the other writes use."""
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    messages = read_messages(spark, TOPICS, "batch", topic_folder)
+    total = messages.count()
+    jobs.security_job(messages.mapInArrow(counted, messages.schema), jobs.Target(str(tmp_path), "security"))
+    assert reads.value == total
+    assert spark.read.parquet(f"{tmp_path}/security/RAW").count() == total
