@@ -4,20 +4,32 @@ A line is hashed, and a chunk starts where a rolling hash over the two lines
 before has a certain remainder: boundaries depend on nearby lines only, so
 the same passage is cut alike wherever it stands and whatever comes before it.
 A line of `LONG_LINE` characters or more (about 40 words) is a passage by
-itself: boundaries stand on both of its sides. Chunks of several lines, and
-long lines, that occur more than once in all documents are removed but for the
-first (the smallest id, then the first place); that they are equal is
-decided on their bytes, after their hashes have met. Single short lines stay.
+itself: boundaries stand on both of its sides.
+
+A passage of two or three short lines seldom holds a whole chunk, since the
+lines around it decide where its first and last chunk end. So every line also
+starts a run, whose end depends on its content alone: it is the line at which
+the run holds over `MASS` words. Whatever stands around a passage of more words
+than that, its runs are the same everywhere.
+
+Chunks of several lines, long lines and runs that occur more than once in all
+documents are removed but for the first (the smallest id, then the first
+place); that they are equal is decided on their bytes, after their hashes have
+met. Single short lines stay.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import let, stored
+from .common import WORD, let, stored
 
 LONG_LINE = 200
 BACK, EVERY = 2, 2
+#: A run of short lines ends where it holds more words than this.
+MASS = 50
+#: Lines of a run that are summed first; most runs are shorter.
+STEP = 4
 
 
 def chunk_starts(lines: Column) -> Column:
@@ -31,23 +43,52 @@ def chunk_starts(lines: Column) -> Column:
     return let(hashes, lambda h: let(F.transform(lines, lambda line: F.length(line) >= LONG_LINE), lambda long: starts(h, long)))
 
 
+def _spans(lines: Column) -> Column:
+    """The chunks of a text, as (first, n_lines)."""
+    def between(s: Column) -> Column:
+        return F.transform(s, lambda first, j: F.struct(first.alias("first"), (F.coalesce(F.get(s, j + 1), F.size(lines)) - first).alias("n_lines")))
+
+    return let(chunk_starts(lines), between)
+
+
+def heavy_runs(lines: Column) -> Column:
+    """(first, n_lines) of the runs of short lines that hold over `MASS` words: one from each line with a word, if it gets there."""
+    too_many = 1_000_000  # what a long line counts, so that no run goes through it
+
+    def fold(words: Column) -> Column:
+        add = lambda run, w: F.when(run["words"] > MASS, run).otherwise(F.struct((run["words"] + w).alias("words"), (run["n"] + 1).alias("n")))
+        return F.aggregate(words, F.struct(F.lit(0).alias("words"), F.lit(0).alias("n")), add)
+
+    def runs(filled: Column) -> Column:
+        """`filled`: the lines that hold words, as (at, words)."""
+        def of(words: Column) -> Column:
+            # Each of these lines holds a word, so that no run has more than MASS + 1 of them.
+            longer = lambda j, few: F.when(few["words"] > MASS, few).otherwise(fold(F.slice(words, j + 1, MASS + 1)))
+            run = lambda j: let(fold(F.slice(words, j + 1, STEP)), lambda few: longer(j, few))
+            ended = F.transform(filled, lambda line, j: F.struct(line["at"].alias("first"), j.alias("j"), run(j).alias("run")))
+            heavy = F.filter(ended, lambda e: (e["run"]["words"] > MASS) & (e["run"]["words"] < too_many))
+            last = lambda e: F.get(filled, e["j"] + e["run"]["n"] - 1)["at"]
+            return F.transform(heavy, lambda e: F.struct(e["first"].alias("first"), (last(e) - e["first"] + 1).alias("n_lines")))
+
+        return let(F.transform(filled, lambda line: line["words"]), of)
+
+    weight = lambda line: F.when(F.length(line) >= LONG_LINE, too_many).otherwise(F.regexp_count(line, F.lit(WORD)))
+    counted = F.transform(lines, lambda line, at: F.struct(at.alias("at"), weight(line).alias("words")))
+    return let(F.filter(counted, lambda line: line["words"] > 0), runs)
+
+
 def chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, version, first, n_lines, body): every chunk that may be removed, of rows (doc_id, text)."""
+    """(doc_id, version, first, n_lines, body): every chunk and run that may be removed, of rows (doc_id, text)."""
     lined = docs.select("doc_id", "version", F.split("text", "\n").alias("lines"))
 
     def cut(lines: Column) -> Column:
-        def build(s: Column) -> Column:
-            end = lambda j: F.coalesce(F.get(s, j + 1), F.size(lines))
-            chunk = lambda j: F.struct(
-                F.get(s, j).alias("first"), (end(j) - F.get(s, j)).alias("n_lines"),
-                F.array_join(F.slice(lines, F.get(s, j) + 1, end(j) - F.get(s, j)), "\n").alias("body"),
-            )
-            return F.transform(F.sequence(F.lit(0), F.size(s) - 1), chunk)
-
-        return let(chunk_starts(lines), build)
+        body = lambda s: F.array_join(F.slice(lines, s["first"] + 1, s["n_lines"]), "\n")
+        spans = F.array_union(_spans(lines), heavy_runs(lines))
+        return F.transform(spans, lambda s: F.struct(s["first"].alias("first"), s["n_lines"].alias("n_lines"), body(s).alias("body")))
 
     flat = lined.select("doc_id", "version", F.explode(let(F.col("lines"), cut)).alias("c")).select("doc_id", "version", "c.*")
-    return flat.where((F.col("n_lines") > 1) | (F.length("body") >= LONG_LINE)).where(F.trim(F.translate("body", "\n\t\r", "   ")) != "")
+    long = (F.length("body") >= LONG_LINE) | (F.regexp_count("body", F.lit(WORD)) > MASS)
+    return flat.where((F.col("n_lines") > 1) | long).where(F.trim(F.translate("body", "\n\t\r", "   ")) != "")
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -57,7 +98,7 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def repeated_chunks(rows: DataFrame) -> DataFrame:
-    """(version, first, n_lines): the chunks to remove, all but the first of each.
+    """(version, first, n_lines): the chunks to remove, all but the first of each and what overlaps it.
 
     Occurrences are aggregated by hash before the shuffle; only chunks whose
     hash occurs twice are kept, compared by their bytes, and marked. Joins are
@@ -68,7 +109,7 @@ def repeated_chunks(rows: DataFrame) -> DataFrame:
     twice = every.select("hash", place).groupBy("hash").agg(F.min("place").alias("_a"), F.max("place").alias("_b")).where("_a != _b")
     some = stored(every.join(twice.select("hash").hint("merge"), "hash").select("hash", "body", "n_lines", place), "chunks")
     firsts = some.groupBy("hash", "body").agg(F.min("place").alias("kept"))
-    again = some.join(firsts, ["hash", "body"]).where("place != kept")
+    again = some.join(firsts, ["hash", "body"]).where("place.version != kept.version OR place.first >= kept.first + n_lines")
     return again.select("place.version", "place.first", "n_lines").distinct()
 
 

@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from parcelflow.llm import queries
@@ -148,3 +149,56 @@ def test_signature_distance_follows_similarity():
     other = np.r_[base[:1700], rng.integers(0, 2**63, 150, dtype=np.uint64)]
     one, two = signatures([np.unique(base), np.unique(other)])
     assert (one != two).sum() <= 15
+
+
+def test_line_dedup_against_brute_force(spark):
+    """Chunks and runs found by plain Python; boundaries by hash are the operator's own."""
+    import random
+
+    from parcelflow.llm import line_dedup as L
+
+    draw = random.Random(5)
+    line = lambda n: " ".join(f"{draw.choice('abcdefgh')}{draw.randrange(10**6)}" for _ in range(n))
+    passages = [[line(26), line(25)], [line(18) for _ in range(3)], [line(9), "", *[line(9) for _ in range(6)]], [line(60)], [" ".join("a" * 1 for _ in range(51))]]
+    texts = {}
+    for d in range(60):
+        lines = [line(draw.choice([2, 7, 15, 40])) for _ in range(draw.randrange(1, 9))]
+        for p in draw.sample(range(len(passages)), draw.randrange(3)):
+            at = draw.randrange(len(lines) + 1)
+            lines[at:at] = passages[p]
+        texts[d] = "\n".join(lines)
+    texts.update({60: "\n".join(["x y z " * 3] * 40), 61: texts[7], 62: "", 63: "one\ntwo"})
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    starts = {r[0]: r[1] for r in docs.select("doc_id", L.chunk_starts(F.split("text", "\n"))).collect()}
+
+    places = {}
+    for d, text in texts.items():
+        lines = text.split("\n")
+        spans = {(a, b) for a, b in zip(starts[d], [*starts[d][1:], len(lines)])}
+        for a in range(len(lines)):
+            words, b = 0, a
+            while lines[a].split() and b < len(lines) and words <= L.MASS and len(lines[b]) < L.LONG_LINE:
+                words, b = words + len(lines[b].split()), b + 1
+            if words > L.MASS:
+                spans.add((a, b))
+        for a, b in spans:
+            body = "\n".join(lines[a:b])
+            if body.strip() and (b - a > 1 or len(body) >= L.LONG_LINE or len(body.split()) > L.MASS):
+                places.setdefault(body, []).append((d, a, b))
+    gone = {d: set() for d in texts}
+    for found in places.values():
+        first, *others = sorted(found)
+        for d, a, b in others:
+            if d != first[0] or a >= first[2]:
+                gone[d].update(range(a, b))
+    rows = {r.doc_id: r for r in L.dedup_lines(docs).collect()}
+    assert {d: set(r.removed) for d, r in rows.items()} == gone
+    for d, r in rows.items():
+        assert r.text == "\n".join(x for k, x in enumerate(texts[d].split("\n")) if k not in gone[d])
+    for passage in passages:
+        holders = [d for d, text in texts.items() if "\n".join(passage) in text]
+        assert len(holders) > 2
+        assert [d for d in holders if "\n".join(passage) in rows[d].text] == holders[:1]
+    # What is removed stays somewhere.
+    left = {x for r in rows.values() for x in r.text.split("\n")}
+    assert all(texts[d].split("\n")[k] in left for d in gone for k in gone[d])
