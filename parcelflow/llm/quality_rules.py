@@ -1,12 +1,19 @@
 """Quality rules whose cutoffs come from labelled holdouts with a bound on false rejections.
 
-A rule rejects a document when its score is above a cutoff. For every stratum
-(language) and rule, the cutoff is the smallest of a fixed grid whose rate of
-rejected good documents is, by the exact (Clopper-Pearson) binomial bound,
-below the stratum's allowance. The allowance `ALPHA` is split evenly over the
-rules, so that all rules of a stratum together stay within it, and the
-confidence `DELTA` over all tests of a stratum. A cutoff that keeps too few labels
-to show this is not used: a stratum without labels rejects nothing.
+A rule rejects a document when its score is above a cutoff. Cutoffs are multiples of
+``1 / GRID``, chosen for every stratum (language) such that, at the confidence
+``1 - DELTA`` for all strata together, at most `ALPHA` of its good documents are
+rejected by any rule (exact Clopper-Pearson bounds of the rate). Two ways are tried:
+
+- All rules are tightened together along one fixed path, and the documents that any of
+  them rejects are tested against `ALPHA`. The path ends at its first failure, so its
+  tests share one risk, and few labels suffice: 61 in one stratum, 88 in each of four.
+- Every rule is tightened alone against its part of `ALPHA`. That takes ten times the
+  labels, but a rule that good documents often break does not hold up the others.
+
+The risk is split between the two, so that either may be used: the one whose cutoffs
+are lower in sum. A stratum whose labels are too few for any test rejects nothing and
+takes no part of the risk.
 """
 
 from __future__ import annotations
@@ -17,14 +24,19 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import WordHashes, slices, stored
+from .common import WordHashes, let, slices, stored
 
 ALPHA, DELTA = 0.05, 0.05
 #: Cutoffs tried: multiples of 1 / GRID of a score between 0 and 1.
 GRID = 50
 RULES = ("symbols", "duplicates", "repeats", "short", "long")
+#: Steps by which a rule is ahead on the common path. Good texts repeat lines and words now and
+#: then (lists, licenses); symbols and word lengths score 0 in ordinary prose.
+LEAD = (10, 0, 0, 10, 10)
+#: The common path's part of the risk; the rules alone share the rest.
+TOGETHER = 0.9
 #: Strata beyond this many are joined instead of broadcast.
 BROADCAST_STRATA = 20_000
 WINDOW = 8
@@ -122,25 +134,41 @@ def _at_most(k: int, n: int, p: float) -> float:
     return float(np.exp(logs - logs.max()).sum() * math.exp(logs.max()))
 
 
+def labels_needed(alpha: float, risk: float) -> int:
+    """Good labels without which no test can pass: those that show `alpha` when none is rejected."""
+    return math.ceil(math.log(risk) / math.log1p(-alpha))
+
+
+def _walk(counts: np.ndarray, start: int, alpha: float, risk: float) -> int:
+    """From the laxest step down, each tested at `risk`: the last that passes before the first that fails, `start` when none does."""
+    n, best = int(counts.sum()), start
+    above = n - np.cumsum(counts)
+    while n and best and upper_bound(int(above[best - 1]), n, risk) <= alpha:
+        best -= 1
+    return best
+
+
 def choose(seen: pd.DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> list[float]:
-    """Cutoffs of one stratum from its good labels' histogram (rule, step, n): a cutoff per rule, 1 when none is safe.
+    """Cutoffs of one stratum at the risk `delta`, from its good labels' histogram (rule, step, n): a cutoff per rule, 1 when none is safe.
+
+    The rule after the last is the common path (see `path_step`).
+    """
+    top = GRID + max(LEAD)
+    counts = np.zeros((len(RULES) + 1, top + 1), np.int64)
+    np.add.at(counts, (seen["rule"].to_numpy(), seen["step"].to_numpy()), seen["n"].to_numpy())
+    at = _walk(counts[-1], top, alpha, TOGETHER * delta)
+    together = [min(GRID, max(0, at - lead)) for lead in LEAD]
+    alone = [_walk(own[: GRID + 1], GRID, alpha / len(RULES), (1 - TOGETHER) * delta / len(RULES)) for own in counts[:-1]]
+    return [step / GRID for step in min(together, alone, key=sum)]
+
+
+def path_step(steps: Column) -> Column:
+    """The lowest step of the common path at which no rule rejects a document of these grid steps.
 
-    From the laxest cutoff down, each is tested at the risk ``delta / tests``;
-    the last that passes before the first that fails is used.
+    At a step, a rule's cutoff is as many grid steps lower as the rule is ahead, 0 at least.
     """
-    cutoffs = []
-    for rule in range(len(RULES)):
-        counts = np.zeros(GRID + 1, np.int64)
-        own = seen[seen["rule"] == rule]
-        np.add.at(counts, own["step"].to_numpy(), own["n"].to_numpy())
-        n, best = int(counts.sum()), GRID
-        for step in range(GRID - 1, -1, -1):
-            above = int(counts[step + 1 :].sum())
-            if not n or upper_bound(above, n, delta / (len(RULES) * GRID)) > alpha / len(RULES):
-                break
-            best = step
-        cutoffs.append(best / GRID)
-    return cutoffs
+    lead = F.array(*[F.lit(x) for x in LEAD])
+    return F.array_max(F.zip_with(steps, lead, lambda s, ahead: F.when(s > 0, s + ahead).otherwise(0)))
 
 
 def cutoffs(scores: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
@@ -151,11 +179,14 @@ def cutoffs(scores: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: f
     """
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
     steps = F.transform("scores", lambda s: F.ceil(s * GRID).cast("int"))
-    flat = scores.where("NOT base_failed").join(good, "doc_id").select("stratum", F.posexplode(steps).alias("rule", "step"))
-    seen = flat.groupBy("stratum", "rule", "step").agg(F.count("*").alias("n"))
+    on_path = let(steps, lambda s: F.concat(s, F.array(path_step(s))))
+    flat = scores.where("NOT base_failed").join(good, "doc_id").select("stratum", F.posexplode(on_path).alias("rule", "step"))
+    seen = stored(flat.groupBy("stratum", "rule", "step").agg(F.count("*").alias("n")), "good")
+    enough = F.col("n") >= labels_needed(alpha, TOGETHER * delta)
+    strata = seen.where("rule = 0").groupBy("stratum").agg(F.sum("n").alias("n")).where(enough).count()
 
     def pick(frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"stratum": [frame["stratum"].iloc[0]], "cutoffs": [choose(frame, alpha, delta)]})
+        return pd.DataFrame({"stratum": [frame["stratum"].iloc[0]], "cutoffs": [choose(frame, alpha, delta / max(1, strata))]})
 
     return seen.groupBy("stratum").applyInPandas(pick, "stratum string, cutoffs array<double>")
 

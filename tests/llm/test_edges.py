@@ -151,3 +151,48 @@ def test_stages(spark, docs, none, labels, bench, tmp_path):
                 assert rest.columns == docs.columns
             sizes.append(rest.count())
     assert sizes[:5] == [0] * 5 and sizes[5:7] == [4, 1]
+
+
+def test_quality_with_a_few_hundred_labels(spark):
+    """Labelled bad documents of every stratum go; most good ones stay, also where they break one rule."""
+    prose = lambda k: " ".join(f"word{k}x{j}" for j in range(40))
+    made, marks = [], []
+    for at, lang in enumerate(("de", "fr", "es", "it", "rare")):
+        for k in range(300 if lang != "rare" else 20):
+            i, bad = at * 1000 + k, k % 10 == 0
+            lists = "\n".join(["- one line again"] * 2) + "\n" if k % 50 == 1 else ""
+            made.append((i, lists + prose(i) + ("".join(f" ##{j}" for j in range(20)) if bad else ""), lang))
+            marks.append((i, int(not bad)))
+    docs = spark.createDataFrame(made, "doc_id long, text string, lang string")
+    judged = quality_rules.judge(docs, spark.createDataFrame(marks, "doc_id long, quality int")).toPandas()
+    good = judged.doc_id.isin([i for i, q in marks if q])
+    by = judged.assign(bad_kept=judged.kept & ~good, good_gone=~judged.kept & good).groupby("stratum")[["bad_kept", "good_gone"]].sum()
+    assert by.bad_kept.drop("rare").sum() == 0 and by.bad_kept["rare"] == 2 and (by.good_gone <= 0.05 * 270).all()
+
+
+def test_quality_cutoffs_hold_and_one_rule_does_not_hold_up_the_others():
+    import numpy as np
+    import pandas as pd
+
+    Q = quality_rules
+    assert (Q.labels_needed(0.05, 0.9 * 0.05), Q.labels_needed(0.05, 0.9 * 0.05 / 4)) == (61, 88)
+
+    def histogram(steps):
+        on_path = np.where(steps > 0, steps + np.array(Q.LEAD), 0).max(1)
+        every = np.c_[steps, on_path]
+        return pd.DataFrame([(r, s, (every[:, r] == s).sum()) for r in range(len(Q.RULES) + 1) for s in np.unique(every[:, r])], columns=["rule", "step", "n"])
+
+    clean = np.zeros((88, 5), int)
+    assert Q.choose(histogram(clean[:60])) == [1.0] * 5 and Q.choose(histogram(clean[:61])) == [0.0] * 5
+    assert Q.choose(histogram(clean[:87]), delta=Q.DELTA / 4) == [1.0] * 5 and Q.choose(histogram(clean), delta=Q.DELTA / 4) == [0.0] * 5
+    code = np.zeros((3000, 5), int)
+    code[:600, 0] = Q.GRID  # a fifth of the good documents is full of symbols
+    assert Q.choose(histogram(code)) == [1.0, 0.0, 0.0, 0.0, 0.0]
+
+    # Cutoffs that reject over ALPHA of the good ones come out in few of many draws.
+    rng, wrong = np.random.default_rng(4), 0
+    for _ in range(300):
+        draw = lambda n: np.where(rng.random((n, 5)) < 0.06, rng.integers(1, Q.GRID + 1, (n, 5)), 0)
+        cut, fresh = np.array(Q.choose(histogram(draw(400)))) * Q.GRID, draw(20_000)
+        wrong += (fresh > cut.round()).any(1).mean() > Q.ALPHA + 0.005
+    assert wrong <= 0.05 * 300
