@@ -9,8 +9,12 @@ itself: boundaries stand on both of its sides.
 A passage of two or three short lines seldom holds a whole chunk, since the
 lines around it decide where its first and last chunk end. So every line also
 starts a run, whose end depends on its content alone: it is the line at which
-the run holds over `MASS` words. Whatever stands around a passage of more words
-than that, its runs are the same everywhere.
+the run holds over `MASS` words. Mixed runs go through long lines too, and another
+goes backwards from each line.
+Whatever stands around a passage of more words than that, its mixed runs are the
+same everywhere, and together they hold all of its lines: a line after which the
+passage ends too soon for a run forwards, and before which it starts too late for
+one backwards, lies in the run from the passage's first line.
 
 Chunks of several lines, long lines and runs that occur more than once in all
 documents are removed but for the first (the smallest id, then the first
@@ -26,7 +30,7 @@ from .common import WORD, let, stored
 
 LONG_LINE = 200
 BACK, EVERY = 2, 2
-#: A run of short lines ends where it holds more words than this.
+#: A run of lines ends where it holds more words than this.
 MASS = 50
 #: Lines of a run that are summed first; most runs are shorter.
 STEP = 4
@@ -51,44 +55,53 @@ def _spans(lines: Column) -> Column:
     return let(chunk_starts(lines), between)
 
 
-def heavy_runs(lines: Column) -> Column:
-    """(first, n_lines) of the runs of short lines that hold over `MASS` words: one from each line with a word, if it gets there."""
-    too_many = 1_000_000  # what a long line counts, so that no run goes through it
+def heavy_runs(lines: Column, mixed: bool = False) -> Column:
+    """(first, n_lines) of the runs that hold over `MASS` words: one from each line with a word, if it gets there.
+
+    Runs are of short lines and go forwards; `mixed` ones are of any lines and go both ways.
+    """
+    too_many = 1_000_000  # what a long line counts, so that no run goes through it unless mixed
 
     def fold(words: Column) -> Column:
         add = lambda run, w: F.when(run["words"] > MASS, run).otherwise(F.struct((run["words"] + w).alias("words"), (run["n"] + 1).alias("n")))
         return F.aggregate(words, F.struct(F.lit(0).alias("words"), F.lit(0).alias("n")), add)
 
     def runs(filled: Column) -> Column:
-        """`filled`: the lines that hold words, as (at, words)."""
+        """`filled`: the lines that hold words, as (at, words), ascending or descending."""
         def of(words: Column) -> Column:
             # Each of these lines holds a word, so that no run has more than MASS + 1 of them.
             longer = lambda j, few: F.when(few["words"] > MASS, few).otherwise(fold(F.slice(words, j + 1, MASS + 1)))
             run = lambda j: let(fold(F.slice(words, j + 1, STEP)), lambda few: longer(j, few))
-            ended = F.transform(filled, lambda line, j: F.struct(line["at"].alias("first"), j.alias("j"), run(j).alias("run")))
-            heavy = F.filter(ended, lambda e: (e["run"]["words"] > MASS) & (e["run"]["words"] < too_many))
-            last = lambda e: F.get(filled, e["j"] + e["run"]["n"] - 1)["at"]
-            return F.transform(heavy, lambda e: F.struct(e["first"].alias("first"), (last(e) - e["first"] + 1).alias("n_lines")))
+            ended = F.transform(filled, lambda line, j: F.struct(line["at"].alias("from"), j.alias("j"), run(j).alias("run")))
+            heavy = F.filter(ended, lambda e: (e["run"]["words"] > MASS) & (F.lit(mixed) | (e["run"]["words"] < too_many)))
+            to = lambda e: F.get(filled, e["j"] + e["run"]["n"] - 1)["at"]
+            return F.transform(heavy, lambda e: F.struct(F.least(e["from"], to(e)).alias("first"), (F.abs(to(e) - e["from"]) + 1).alias("n_lines")))
 
         return let(F.transform(filled, lambda line: line["words"]), of)
 
-    weight = lambda line: F.when(F.length(line) >= LONG_LINE, too_many).otherwise(F.regexp_count(line, F.lit(WORD)))
+    short = lambda line: F.regexp_count(line, F.lit(WORD))
+    weight = short if mixed else lambda line: F.when(F.length(line) >= LONG_LINE, too_many).otherwise(short(line))
     counted = F.transform(lines, lambda line, at: F.struct(at.alias("at"), weight(line).alias("words")))
-    return let(F.filter(counted, lambda line: line["words"] > 0), runs)
+    both_ways = lambda filled: F.array_union(runs(filled), runs(F.reverse(filled)))
+    return let(F.filter(counted, lambda line: line["words"] > 0), both_ways if mixed else runs)
+
+
+def _body(lines: Column, span: Column) -> Column:
+    return F.array_join(F.slice(lines, span["first"] + 1, span["n_lines"]), "\n")
 
 
-def chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, version, first, n_lines, body): every chunk and run that may be removed, of rows (doc_id, text)."""
+def chunks(docs: DataFrame, mixed: bool = False) -> DataFrame:
+    """(doc_id, version, first, n_lines, hash): every chunk and run that may be removed, of rows (doc_id, version, text)."""
     lined = docs.select("doc_id", "version", F.split("text", "\n").alias("lines"))
+    may = lambda n, body: ((n > 1) | (F.length(body) >= LONG_LINE) | (F.regexp_count(body, F.lit(WORD)) > MASS)) & (F.trim(F.translate(body, "\n\t\r", "   ")) != "")
 
     def cut(lines: Column) -> Column:
-        body = lambda s: F.array_join(F.slice(lines, s["first"] + 1, s["n_lines"]), "\n")
-        spans = F.array_union(_spans(lines), heavy_runs(lines))
-        return F.transform(spans, lambda s: F.struct(s["first"].alias("first"), s["n_lines"].alias("n_lines"), body(s).alias("body")))
+        spans = F.array_union(_spans(lines), heavy_runs(lines, mixed))
+        hashed = lambda s: let(_body(lines, s), lambda body: F.when(may(s["n_lines"], body), F.xxhash64(body)))
+        return F.transform(spans, lambda s: F.struct(s["first"].alias("first"), s["n_lines"].alias("n_lines"), hashed(s).alias("hash")))
 
     flat = lined.select("doc_id", "version", F.explode(let(F.col("lines"), cut)).alias("c")).select("doc_id", "version", "c.*")
-    long = (F.length("body") >= LONG_LINE) | (F.regexp_count("body", F.lit(WORD)) > MASS)
-    return flat.where((F.col("n_lines") > 1) | long).where(F.trim(F.translate("body", "\n\t\r", "   ")) != "")
+    return flat.where("hash IS NOT NULL")
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -97,31 +110,36 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.withColumn("version", F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.col("doc_id").isNull(), "text"))
 
 
-def repeated_chunks(rows: DataFrame) -> DataFrame:
+def repeated_chunks(rows: DataFrame, mixed: bool = False) -> DataFrame:
     """(version, first, n_lines): the chunks to remove, all but the first of each and what overlaps it.
 
     Occurrences are aggregated by hash before the shuffle; only chunks whose
-    hash occurs twice are kept, compared by their bytes, and marked. Joins are
-    sorted ones at every size, since what repeats grows with the documents.
+    hash occurs twice are cut from their texts again, compared by their bytes, and
+    marked. Joins are sorted ones at every size, since what repeats grows with the documents.
     """
     place = F.struct("doc_id", "version", "first").alias("place")
-    every = chunks(rows).withColumn("hash", F.xxhash64("body"))
+    every = stored(chunks(rows, mixed), "spans")
     twice = every.select("hash", place).groupBy("hash").agg(F.min("place").alias("_a"), F.max("place").alias("_b")).where("_a != _b")
-    some = stored(every.join(twice.select("hash").hint("merge"), "hash").select("hash", "body", "n_lines", place), "chunks")
+    met = every.join(twice.select("hash").hint("merge"), "hash").groupBy("version").agg(F.collect_set(F.struct("first", "n_lines", "hash")).alias("spans"))
+    texts = rows.join(met.hint("merge"), "version").select("doc_id", "version", "spans", F.split("text", "\n").alias("lines"))
+    bodies = let(F.col("lines"), lambda lines: F.transform("spans", lambda s: F.struct(s["hash"].alias("hash"), _body(lines, s).alias("body"), s["n_lines"].alias("n_lines"), s["first"].alias("first"))))
+    some = stored(texts.select("doc_id", "version", F.explode(bodies).alias("c")).select("doc_id", "version", "c.*").select("hash", "body", "n_lines", place), "chunks")
     firsts = some.groupBy("hash", "body").agg(F.min("place").alias("kept"))
     again = some.join(firsts, ["hash", "body"]).where("place.version != kept.version OR place.first >= kept.first + n_lines")
     return again.select("place.version", "place.first", "n_lines").distinct()
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mixed: bool = False) -> DataFrame:
     """Per row of `docs`: doc_id, text without repeated chunks, n_lines, removed (the numbers of removed lines, ascending).
 
     Null and empty texts come back empty, with one empty line. Rows alike in id
     and text are one document and lose nothing to each other. Null ids come first.
+    With `mixed`, as in the query, every repeated passage of over `MASS` words goes
+    whole; without, a short line beside a long one stays.
     """
     rows = _rows(docs, id_col, text_col)
-    gone = repeated_chunks(rows).select("version", F.sequence(F.col("first"), F.col("first") + F.col("n_lines") - 1).alias("numbers"))
-    gone = stored(gone.groupBy("version").agg(F.array_sort(F.flatten(F.collect_list("numbers"))).alias("removed")), "removed")
+    gone = repeated_chunks(rows, mixed).select("version", F.sequence(F.col("first"), F.col("first") + F.col("n_lines") - 1).alias("numbers"))
+    gone = stored(gone.groupBy("version").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("numbers")))).alias("removed")), "removed")
     both = rows.join(gone.hint("merge"), "version", "left").withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
 
     def rest(lines: Column) -> Column:

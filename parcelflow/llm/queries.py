@@ -33,7 +33,7 @@ def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    rest = line_dedup.dedup_lines(table(spark, folder, "documents"))
+    rest = line_dedup.dedup_lines(table(spark, folder, "documents"), mixed=True)
     return rest.select(
         "doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"),
         F.crc32(F.col("text").cast("binary")).alias("rest_crc32"),

@@ -196,3 +196,19 @@ def test_quality_cutoffs_hold_and_one_rule_does_not_hold_up_the_others():
         cut, fresh = np.array(Q.choose(histogram(draw(400)))) * Q.GRID, draw(20_000)
         wrong += (fresh > cut.round()).any(1).mean() > Q.ALPHA + 0.005
     assert wrong <= 0.05 * 300
+
+
+def test_passages_of_short_and_long_lines_go_whole(spark):
+    """Whatever the lengths of its lines and whatever stands around it, a repeated passage of over 50 words is removed."""
+    line = lambda name, n, width=4: " ".join(f"{name}{k}".ljust(width, "z") for k in range(n))
+    passages = [
+        [line("a", 12), line("b", 60)], [line("c", 60), line("d", 12)], [line("e", 30, 8), line("f", 25)], [line("g", 25), line("h", 30, 8)],
+        [line("i", 4), line("j", 55), "", line("k", 4)], [line("l", 30), line("m", 30), line("n", 6)], [line("o", 40, 8), line("p", 40, 8), line("q", 9)],
+        [line("r", 20), line("s", 20), line("t", 20), line("u", 20)],
+    ]
+    holders = [(p, d) for d in range(3) for p in range(len(passages))]
+    texts = {i: "\n".join([line(f"x{i}_", 9), *passages[p], line(f"y{i}_", 7), line(f"z{i}_", 3)]) for i, (p, _) in enumerate(holders)}
+    texts[1000] = "\n".join([line("a", 12), line("other", 60)])  # a short line alone is no passage
+    rows = {r.doc_id: r.removed for r in line_dedup.dedup_lines(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), mixed=True).collect()}
+    assert rows.pop(1000) == []
+    assert [rows[i] for i in sorted(rows)] == [list(range(1, len(passages[p]) + 1)) if d else [] for p, d in holders]
