@@ -2,12 +2,13 @@
 
 Trust starts at hosts whose pages the rules allow and flows along links;
 distrust starts at hosts whose pages the rules block and flows against them, to
-the hosts that link there. Both are personalised PageRank: a host keeps
-``1 - DAMPING`` of its seed, the share of its pages that the rules allow (or block), and
-gets the rest from its neighbours in proportion to their links. A host without neighbours
-hands its score to itself. A page without a rule is blocked when its host's
-distrust is at least `LIMIT` and above its trust; a host's own share counts in
-full where it is above the score that is left after handing on.
+the hosts that link there. A host's score is the larger of its own share, of its
+pages that the rules allow (or block), and of ``DAMPING`` times the mean score of its
+neighbours, weighted by their links: for distrust the hosts it links to, for trust those
+that link to it. So a score is between 0 and 1, means the same at every host, and is
+neither divided over the hosts that link to the same place nor used up by handing it on.
+A page without a rule is blocked when its host's distrust is at least `LIMIT` and
+above its trust.
 """
 
 from __future__ import annotations
@@ -57,22 +58,24 @@ def host_links(pages: DataFrame, html_col: str = "html") -> DataFrame:
 
 
 def spread(seeds: DataFrame, links: DataFrame, steps: int = STEPS, damping: float = DAMPING) -> DataFrame:
-    """Personalised PageRank of `seeds` (host, seed) along `links` (a, b, n), as (host, score).
+    """Scores of hosts from `seeds` (host, seed) along `links` (a, b, n), as (host, score).
 
-    One join and one aggregation per step over hosts; links into a host that
-    very many others link to are summed before the shuffle.
+    A host has its seed, or `damping` times the mean of the scores of the hosts that
+    link to it, by their parts of its links, if that is more. One join and one
+    aggregation per step over hosts; links into a host that very many others link
+    to are summed before the shuffle.
     """
-    out = links.groupBy("a").agg(F.sum("n").alias("out"))
-    share = stored(links.join(out, "a").select("a", "b", (F.col("n") / F.col("out")).alias("part")), "shares")
-    state = stored(seeds.join(out.select(F.col("a").alias("host"), F.lit(True).alias("linked")), "host", "left").select("host", "seed", F.coalesce("linked", F.lit(False)).alias("linked"), F.col("seed").alias("score")), "ranks")
+    into = links.groupBy("b").agg(F.sum("n").alias("into"))
+    share = stored(links.join(into, "b").select("a", "b", (F.col("n") / F.col("into")).alias("part")), "shares")
+    state = stored(seeds.select("host", "seed", F.col("seed").alias("score")), "ranks")
     if share.isEmpty():
         return state.select("host", "score")
     for _ in range(steps):
-        got = state.join(share, state["host"] == share["a"]).groupBy("b").agg(F.sum(F.col("score") * F.col("part")).alias("got"))
-        own = F.when(F.col("linked"), 0.0).otherwise(F.col("score"))
-        score = (1 - damping) * F.col("seed") + damping * (F.coalesce("got", F.lit(0.0)) + own)
-        state = stored(state.join(got, state["host"] == got["b"], "left").select("host", "seed", "linked", score.alias("score")), "ranks")
-    return state.select("host", F.greatest("seed", "score").alias("score"))
+        # Hosts without a score add nothing.
+        got = state.where("score > 0").join(share, F.col("host") == F.col("a")).groupBy("b").agg(F.sum(F.col("score") * F.col("part")).alias("got"))
+        score = F.greatest("seed", damping * F.coalesce("got", F.lit(0.0)))
+        state = stored(state.join(got, state["host"] == got["b"], "left").select("host", "seed", score.alias("score")), "ranks")
+    return state.select("host", "score")
 
 
 def judge_pages(pages: DataFrame, rules: tuple = RULES, limit: float = LIMIT) -> DataFrame:

@@ -212,3 +212,17 @@ def test_passages_of_short_and_long_lines_go_whole(spark):
     rows = {r.doc_id: r.removed for r in line_dedup.dedup_lines(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), mixed=True).collect()}
     assert rows.pop(1000) == []
     assert [rows[i] for i in sorted(rows)] == [list(range(1, len(passages[p]) + 1)) if d else [] for p, d in holders]
+
+
+def test_distrust_reaches_all_that_link_to_a_blocked_host(spark):
+    """A farm of many linkers, a linker that is itself linked, and those that mostly link elsewhere or are trusted."""
+    link = lambda *hosts: " ".join(f"<a href='http://{h}/es/1'>" for h in hosts)
+    pages = [("bad.net/es/1", ""), ("hub.com/", link("backed.org")), ("fine.org/", "")]
+    pages += [(f"farm{k}.org/", link("bad.net")) for k in range(300)]
+    pages += [("linked.org/", link("bad.net")), ("far.org/", link("linked.org"))]
+    pages += [("mixed.org/", link("bad.net", "fine.org", "fine2.org")), ("backed.org/", link("bad.net"))]
+    rows = spark.createDataFrame([(i, "http://" + url, html) for i, (url, html) in enumerate(pages)], "page_id long, url string, html string")
+    found = {r.host: r.verdict for r in url_filter.judge_pages(rows).collect()}
+    blocked = {"bad.net", "linked.org", "far.org", *(f"farm{k}.org" for k in range(300))}
+    assert {h for h, v in found.items() if v == "block"} == blocked
+    assert {h for h, v in found.items() if v == "allow"} == {"hub.com", "fine.org", "mixed.org", "backed.org"}
