@@ -1,0 +1,239 @@
+"""Tokenizer alignment, the n-gram join and the prefix trie against brute force and on odd input."""
+
+import collections
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from parcelflow.llm import align, ngram_join, prefix_trie, queries
+from parcelflow.llm.encode import Encoder, PieceModel, tokenizer_file
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+ODD = np.array(list("ab  \n\t 　\x1c\x01é\U0001f6001'▁<s>́ﬁ½"))
+
+
+def odd_texts(n, seed=5):
+    rng = np.random.default_rng(seed)
+    made = ["".join(rng.choice(ODD, rng.integers(0, 60))) for _ in range(n)]
+    return made + ["", "<|endoftext|>", "x" * 5000, "𒀀" * 3000, "a\0b", "<unk> <s>", " ", "  ", "one"]
+
+
+@pytest.fixture(scope="module")
+def models():
+    return Encoder(tokenizer_file(), plain=True), PieceModel(tokenizer_file("piece_bpe_32k.model"))
+
+
+def groups_of(models, text):
+    """Groups by the set of shared ends."""
+    first, second = models
+    if not text:
+        return []
+    a, b = first.tokenizer.encode(" " + text, add_special_tokens=False).ids, second.model.encode(text)
+    bytes_a, bytes_b = [first.entries[i] for i in a], [second.entries[i] for i in b]
+    if not b"".join(bytes_a) == b"".join(bytes_b) == (" " + text).encode():
+        return []
+    ends_a, ends_b = (np.cumsum([len(x) for x in side]).tolist() for side in (bytes_a, bytes_b))
+    out, i, j = [], 0, 0
+    for cut in sorted(set(ends_a) & set(ends_b)):
+        k, n = ends_a.index(cut, i) + 1, ends_b.index(cut, j) + 1
+        out.append((a[i:k], b[j:n]))
+        i, j = k, n
+    return out
+
+
+def aligned_by_hand(models, texts):
+    groups = [groups_of(models, t) for t in texts]
+    pairs = [collections.Counter((x, y) for a, b in g for x in a for y in b) for g in groups]
+    held = collections.Counter(p for c in pairs for p in c)
+    most = collections.defaultdict(int)
+    for (x, _), n in held.items():
+        most[x] = max(most[x], n)
+    out = []
+    for g, c in zip(groups, pairs):
+        shown = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in g)
+        out.append((
+            sum(len(a) for a, _ in g), sum(len(b) for _, b in g), len(g), sum(c.values()), sum(n for p, n in c.items() if held[p] == most[p[0]]),
+            sum(n * held[p] for p, n in c.items()), hashlib.sha256(shown.encode()).hexdigest() if g else "",
+        ))
+    return out
+
+
+def test_pieces_of_a_piece_model_give_the_ids_of_whole_texts(models):
+    texts = [t for t in odd_texts(3000) if t]
+    ids, counts = models[1]([" " + t for t in texts])
+    whole = models[1].model.encode(texts)
+    assert ids.tolist() == [i for t in whole for i in t] and counts.tolist() == [len(t) for t in whole]
+
+
+@pytest.mark.parametrize("pairs", [10**6, 0])
+def test_alignment(spark, folder, models, pairs):
+    texts = [*pd.read_parquet(f"{folder}/documents.parquet").text, *odd_texts(150), None]
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], "doc_id long, text string, pairs string, row long")
+    found = sorted(tuple(r) for r in align.align_documents(docs, broadcast_pairs=pairs).collect())
+    assert found == [(i, *row) for i, row in enumerate(aligned_by_hand(models, texts))]
+
+
+def test_alignment_of_repeats_and_nothing(spark, models):
+    docs = spark.createDataFrame([(1, "same text"), (1, "same text"), (None, "same text"), (None, None)], "doc_id long, text string")
+    found = sorted((tuple(r) for r in align.align_documents(docs).collect()), key=repr)
+    row = aligned_by_hand(models, ["same text"] * 3)[0]
+    assert found == sorted([(1, *row), (1, *row), (None, *row), (None, 0, 0, 0, 0, 0, 0, "")], key=repr)
+    assert align.align_documents(docs.limit(0)).count() == 0
+    text = align.aligned(docs, groups=True).where("doc_id = 1").first().groups
+    assert text == ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups_of(models, "same text"))
+
+
+def test_cutless_intervals_and_far_cuts():
+    rng = np.random.default_rng(7)
+    for _ in range(300):
+        total = int(rng.integers(2, 4000))
+        ends = [np.unique(np.r_[rng.choice(total, rng.integers(1, total), replace=False) + 1, total]) for _ in range(2)]
+        a0, a1, b0, b1 = align.shared_cuts(*ends, np.array([0]), np.array([0]))
+        assert ends[0][a1 - 1].tolist() == np.intersect1d(*ends).tolist() == ends[1][b1 - 1].tolist()
+        assert a0.tolist() == [0, *a1[:-1]] and b0.tolist() == [0, *b1[:-1]]
+
+
+def test_large_groups_count_like_small_ones(models, monkeypatch):
+    texts = pa.array(odd_texts(50), pa.large_string())
+    one = align.Aligner(tokenizer_file(), tokenizer_file("piece_bpe_32k.model"))
+    before = [(r[:5], r[5].tolist(), r[6].tolist()) for r in one(texts)]
+    monkeypatch.setattr(align, "LARGE", 1)
+    assert [(r[:5], r[5].tolist(), r[6].tolist()) for r in one(texts)] == before
+
+
+def classes_by_hand(docs, width=4, percent=85):
+    sets = {}
+    for i, text in docs:
+        w = re.findall(WORD, (text or "").translate({c: c + 32 for c in range(65, 91)}))
+        sets[i] = {tuple(w[k : k + width]) for k in range(max(1, len(w) - width + 1))} if w else set()
+    top = {i: i for i in sets}
+
+    def root(i):
+        while top[i] != i:
+            i = top[i]
+        return i
+
+    index = collections.defaultdict(list)
+    for i, s in sets.items():
+        for g in s:
+            index[g].append(i)
+    met = {(i, j) for held in index.values() for i in held for j in held if i < j}
+    for i, j in met:
+        if 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+            a, b = sorted((root(i), root(j)))
+            top[b] = a
+    return sorted((i, len(s), root(i)) for i, s in sets.items())
+
+
+def test_join_finds_every_link(spark):
+    draw = random.Random(4)
+    word = lambda: f"w{min(int(draw.paretovariate(0.7)), 4000)}"
+    passage = [word() for _ in range(30)]
+    texts = []
+    for _ in range(90):
+        base = [word() for _ in range(draw.choice([1, 3, 4, 6, 9, 40, 200, 900]))] + (passage if draw.random() < 0.4 else [])
+        for _ in range(draw.choice([1, 2, 5])):
+            near = list(base)
+            for _ in range(draw.choice([0, 1, 2, 8])):
+                near[draw.randrange(len(near))] = word()
+            texts.append(" ".join(near).upper() if draw.random() < 0.2 else "\n".join(near))
+    rows = list(enumerate(texts + ["", " \t", None]))
+    docs = spark.createDataFrame([(i, t, 1, "y") for i, t in rows], "doc_id long, text string, key long, id string")
+    assert sorted(tuple(r) for r in ngram_join.ngram_join(docs).collect()) == classes_by_hand(rows)
+    assert sorted(tuple(r) for r in ngram_join.ngram_join(docs, percent=60, width=2).collect()) == classes_by_hand(rows, 2, 60)
+
+
+def test_prefixes_of_linked_sets_share_a_key():
+    rng, draw = np.random.default_rng(1), np.random.default_rng(2)
+    for percent in (50, 85, 100):
+        c = ngram_join.Classes(percent, 100, 1000)
+        for trial in range(700):
+            x = np.unique(rng.integers(0, 2**63, rng.integers(1, 90) if trial % 10 else 1500, dtype=np.uint64))
+            gone = int(rng.integers(0, c.lacking(len(x)) + 1))
+            y = rng.permutation(x)[: len(x) - gone]
+            y = np.r_[y, rng.integers(0, 2**63, max(0, int(draw.integers(0, 1 + max(0, len(y) * 100 // percent - len(x))))), dtype=np.uint64)]
+            counts = {t: int(rng.choice([10, 500, 5000], p=[0.2, 0.4, 0.4])) for t in {*x.tolist(), *y.tolist()}}
+            keys = []
+            for tokens in (x, y):
+                n = np.array([counts[t] for t in tokens.tolist()])
+                order = np.lexsort((tokens, n))
+                keys.append({k for s in c.schemes(len(order)) for k in c.keys(tokens[order], n[order], s, c.groups(s)).tolist()})
+            assert keys[0] & keys[1]
+
+
+def test_join_on_odd_rows(spark):
+    long = " ".join(f"w{k % 7001}" for k in range(60_000))
+    rows = [(1, "a b c d e"), (2, "A b c d e"), (2, "A b c d e"), (None, "a b c d e"), (3, None), (4, "one"), (5, "one"), (6, long), (7, long + " end"), (8, "x" * 50_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((tuple(r) for r in ngram_join.ngram_join(docs).collect()), key=lambda r: (r[0] or 0, r[1]))
+    assert [(r[0], r[2]) for r in found] == [(None, None), (1, None), (2, None), (2, None), (3, 3), (4, 4), (5, 4), (6, 6), (7, 6), (8, 8)]
+    assert ngram_join.ngram_join(docs.limit(0)).count() == 0
+
+
+def trie_by_hand(rows):
+    turns = collections.defaultdict(list)
+    for c, t, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            turns[c].append((t is not None, t or 0, role, hashlib.md5(f"{len(role)}:{role}{text}".encode()).hexdigest(), text))
+    paths = {c: [(t[2], t[4]) for t in sorted(v)] for c, v in turns.items()}
+    rebuilt = {}
+    for c, path in paths.items():
+        h = zlib.crc32(str(c).encode()) % 4
+        base = c - (c % 20 if c >= 0 else -(-c % 20))
+        rebuilt[c] = (*paths.get(base, [])[:h], *path[h:])
+    members, children = collections.defaultdict(list), collections.defaultdict(list)
+    for c, path in rebuilt.items():
+        for d in range(len(path) + 1):
+            members[path[:d]].append(c)
+    for node in members:
+        if node:
+            children[node[:-1]].append(node)
+    leaves, saved, out = {}, {}, []
+    for node in sorted(members, key=len, reverse=True):
+        leaves[node] = sum(leaves[k] for k in children[node]) or 1
+        own = (len(members[node]) - 1) * len(WORD.findall(node[-1][1])) if node else 0
+        saved[node] = own + sum(saved[k] for k in children[node])
+    for node, held in members.items():
+        ends = ",".join(str(c) for c in sorted(held) if len(rebuilt[c]) == len(node))
+        above = min(members[node[:-1]]) if node else None
+        out.append((min(held), len(node), above, len(held), len(children[node]), leaves[node], saved[node], hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def test_trie(spark):
+    """Null ids, turns, roles and texts, repeats, copies of one conversation over many shards, one first turn for all, a long path."""
+    draw = random.Random(3)
+    rows = [
+        (None if k % 40 == 0 else draw.randrange(-200, 400), draw.choice([None, 0, 1, 2, 3]), draw.choice(["a", "b", None]), draw.choice(["x y", "x", None, "", " z  w "]))
+        for k in range(2000)
+    ]
+    rows += [(c, k, "u", f"same {k}") for c in range(1000, 1400) for k in range(5)]
+    rows += [(c, k, "u", "first" if k == 0 else f"{c}") for c in range(2000, 2300) for k in range(2)] + [(9999, k, "u", str(k)) for k in range(2000)]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, path int")
+    expected = trie_by_hand(rows)
+    for shards in (1, 17):
+        assert sorted((tuple(r) for r in prefix_trie.prefix_trie(prefix_trie.rebuilt_turns(docs), shards).collect()), key=repr) == expected
+    assert prefix_trie.prefix_trie(prefix_trie.rebuilt_turns(docs.limit(0))).count() == 0
+    alone = prefix_trie.rebuilt_turns(docs.where("conv_id = 1").limit(1).withColumn("turn", F.lit(None).cast("long")))
+    assert prefix_trie.prefix_trie(alone).count() == 1  # its one turn is the base's, which is absent: the root alone
+
+
+def test_ids_of_a_node_over_many_shards_are_hashed_in_order(spark):
+    paths = spark.range(20_000).select(F.col("id").alias("conv_id"), F.unhex(F.lit("ab" * 16)).alias("path"), F.array(F.lit(2).cast("long")).alias("words"))
+    rows = {r.depth: r for r in prefix_trie.prefix_trie(paths, 9).collect()}
+    assert (rows[1].n_convs, rows[1].saved_tokens, rows[0].n_leaves, rows[0].saved_tokens) == (20_000, 39_998, 1, 39_998)
+    assert rows[1].ends_sha256 == hashlib.sha256(",".join(map(str, range(20_000))).encode()).hexdigest()
+
+
+def test_the_queries_of_these_operators(spark, folder, models):
+    docs = pd.read_parquet(f"{folder}/documents.parquet")
+    found = queries.op11_cross_tokenizer(spark, folder).toPandas().set_index("doc_id").loc[docs.doc_id]
+    assert [tuple(r) for r in found.itertuples(index=False)] == aligned_by_hand(models, docs.text)
