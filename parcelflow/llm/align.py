@@ -28,6 +28,8 @@ from .encode import Encoder, PieceEncoder, PieceModel, text_slices, tokenizer_fi
 BITS = 20
 #: Id pairs whose counts are broadcast; more are joined by shuffle.
 BROADCAST_PAIRS = 1_000_000
+#: Pieces each of the two tokenizers remembers per worker, and bytes of text aligned together.
+REMEMBER, SLICE = 500_000, 2 << 20
 #: Groups with more links than this are counted by distinct ids.
 LARGE = 1024
 
@@ -99,7 +101,7 @@ class Aligner:
     """Aligned slices of texts."""
 
     def __init__(self, path_a: str, path_b: str):
-        self.a, self.b = Encoder(path_a, plain=True), PieceModel(path_b)
+        self.a, self.b = Encoder(path_a, plain=True, remember=REMEMBER), PieceModel(path_b, remember=REMEMBER)
         self._pools = [(np.frombuffer(b"".join(m.entries), np.uint8), np.cumsum(m.sizes) - m.sizes) for m in (self.a, self.b)]
         most = max(len(self.a.sizes), len(self.b.sizes))
         self._shown = [f"{i}{mark}" for i in range(most) for mark in (",", "|", ";", "")]
@@ -189,7 +191,7 @@ def aligned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tok
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         align, row = aligner(path_a, path_b), TaskContext.get().partitionId() << 40
-        for batch, texts in text_slices(batches, "text", 4 << 20):
+        for batch, texts in text_slices(batches, "text", SLICE):
             n_a, n_b, n_groups, n_links, shown, keys, times = zip(*align(texts))
             lists = pa.array(np.cumsum([0, *map(len, keys)]), pa.int32())
             columns = {

@@ -33,11 +33,11 @@ class PieceEncoder:
     are done for a whole slice of texts at once; Python sees distinct pieces only.
     """
 
-    def __init__(self, width: type):
-        self.width = width
+    def __init__(self, width: type, remember: int = REMEMBER):
+        self.width, self.remember = width, remember
         self._index: dict[str, int] = {}
         self._ids, self._used, self._kept = np.zeros(1 << 20, width), 0, 0
-        self._start, self._count = np.zeros(REMEMBER + 1, np.int64), np.zeros(REMEMBER + 1, np.int64)
+        self._start, self._count = np.zeros(remember + 1, np.int64), np.zeros(remember + 1, np.int64)
         self.entries = self._bytes_of()
         self.sizes = np.array([len(e) for e in self.entries], np.int64)
 
@@ -85,7 +85,7 @@ class PieceEncoder:
         start, count = self._start[at], self._count[at]
         new = np.flatnonzero(at < 0).tolist()
         short = [i for i in new if len(known[i]) <= LONGEST]
-        kept = short[: REMEMBER - len(self._index)]  # these come first in the store
+        kept = short[: self.remember - len(self._index)]  # these come first in the store
         for some, keep in ((kept, True), (short[len(kept) :] + [i for i in new if len(known[i]) > LONGEST], False)):
             joined = [i for i in some if known[i][:1] in (" ", "\n") and not known[i][-1].isspace()]
             alone = sorted(set(some).difference(joined))
@@ -131,7 +131,7 @@ class Encoder(PieceEncoder):
     are ordinary text.
     """
 
-    def __init__(self, path: str, plain: bool = False):
+    def __init__(self, path: str, plain: bool = False, remember: int = REMEMBER):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -145,7 +145,7 @@ class Encoder(PieceEncoder):
             and not parts.get("normalizer") and not parts.get("truncation") and not parts.get("padding")
         )
         self.special = [] if plain else [t["content"] for t in parts.get("added_tokens", [])]
-        super().__init__(np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
+        super().__init__(np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32, remember)
 
     def _plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -177,14 +177,14 @@ class PieceModel(PieceEncoder):
     nothing is merged across the start of a run of blanks: texts are cut there.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remember: int = REMEMBER):
         from sentencepiece import SentencePieceProcessor
 
         self.model = SentencePieceProcessor(model_file=path)
         entries = [self.model.id_to_piece(i) for i in range(self.model.vocab_size())]
         self.by_piece = not any("▁" in e.lstrip("▁") for e in entries)
         self._blank = [self.model.piece_to_id("▁")]
-        super().__init__(np.uint16 if len(entries) <= 1 << 16 else np.uint32)
+        super().__init__(np.uint16 if len(entries) <= 1 << 16 else np.uint32, remember)
 
     def _plain(self, texts: list[str]) -> list[list[int]]:
         ids = self.model.encode([t[1:] for t in texts], num_threads=1)
