@@ -45,6 +45,8 @@ SLOTS = 1 << SLOT_BITS
 MOST = 3
 #: Rounds of comparison with a pivot before keys are joined.
 ROUNDS = 2
+#: Texts in the verification whose ids and digests are broadcast to the scan; more are joined by shuffle.
+BROADCAST_IDS = 500_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -177,10 +179,9 @@ def _indexed(table: np.ndarray, classes: Classes, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, groups = WordHashes(), {}
         for batch in slices(batches, "text"):
-            found, digests = [], []
+            found = []
             for text in batch.column("text").to_pylist():
                 tokens, keys = shingles(text, hashes, width), []
-                digests.append(_digest(tokens))
                 if len(tokens):
                     counts = table[_slot(tokens)]
                     order = np.lexsort((tokens, counts))
@@ -190,9 +191,7 @@ def _indexed(table: np.ndarray, classes: Classes, width: int):
                             groups[scheme] = classes.groups(scheme)
                         keys.append(classes.keys(tokens, counts, scheme, groups[scheme]))
                 found.append(np.unique(np.concatenate(keys)).view(np.int64) if keys else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(digests, pa.binary()), pa.array(found, pa.list_(pa.int64()))], ["id", "digest", "keys"]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.list_(pa.int64()))], ["id", "keys"])
 
     return run
 
@@ -210,25 +209,32 @@ def _sets(width: int):
     return run
 
 
-def _verified(bucket: DataFrame, sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """(id, label): components of the links of `found` and of all links within the keys of `bucket` (key, id)."""
+def _verified(bucket: DataFrame, pairs: DataFrame, sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """(id, label): components of the links of `found`, of `pairs` (a, b) and of all links within the keys of `bucket` (key, id).
+
+    Keys stay apart, so that an id leaves as soon as no other id of a key can be linked with it.
+    """
     slack = 1 - percent / 100 + 1e-9
+    linked = 100 * F.col("both") >= percent * F.col("either")
     labels = None
     for _ in range(ROUNDS):
+        # The pivot of a key is the set whose keys most others share.
         crowd = bucket.groupBy("key").agg(F.count("*").alias("crowd"))
         fame = bucket.join(crowd, "key").groupBy("id").agg(F.sum("crowd").alias("fame"))
         pivots = bucket.join(fame, "id").groupBy("key").agg(F.max_by("id", F.struct("fame", F.bitwise_not("id"))).alias("a"))
-        against = bucket.select("key", "id").join(pivots, "key").where("id != a").select("a", F.col("id").alias("b"))
-        judged = stored(_similar(against.distinct(), sets), "judged")
-        found = found.unionByName(judged.where(100 * F.col("both") >= percent * F.col("either")).select("a", "b"))
+        against = stored(bucket.select("key", "id").join(pivots, "key").where("id != a"), "against")
+        judged = stored(_similar(against.select("a", F.col("id").alias("b")).unionByName(pairs).distinct(), sets), "judged")
+        found = found.unionByName(judged.where(linked).select("a", "b"))
         labels = stored(components(found), "labels")
         found = labels.select(F.col("label").alias("a"), F.col("id").alias("b"))
         # Sets that may be linked are at distances from their pivot that differ by `slack` at most, and share one of two bands.
-        placed = judged.select("a", F.col("b").alias("id"), (1 - F.col("both") / F.col("either")).alias("far")).distinct()
-        bands = F.array(*[F.xxhash64("a", F.lit(k), F.floor(F.col("far") / (2 * slack) + k / 2)) for k in (0, 1)])
-        bucket = stored(_possible(_mixed(placed.withColumn("key", F.explode(bands)), labels), sets, percent), "keys")
+        placed = against.join(judged.select("a", F.col("b").alias("id"), (1 - F.col("both") / F.col("either")).alias("far")), ["a", "id"])
+        bands = F.array(*[F.xxhash64("key", F.lit(k), F.floor(F.col("far") / (2 * slack) + k / 2)) for k in (0, 1)])
+        placed = placed.select("a", "id", "far", F.explode(bands).alias("key")).distinct()
+        bucket = stored(_possible(_mixed(placed, labels), sets, percent), "keys")
         if bucket.isEmpty():
             return labels
+        pairs = pairs.limit(0)
     near = stored(_links_within(bucket, sets, percent, slack), "links")
     return labels if near.isEmpty() else components(found.unionByName(near))
 
@@ -251,20 +257,31 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     seen = stored(rows.mapInArrow(_read(width), "id long, n_shingles long, digest binary, chunk int, counts binary"), "seen")
     read = seen.where("chunk IS NULL").select("id", "n_shingles", "digest")
     full = read.where("digest IS NOT NULL")
-    nodes = stored(full.groupBy("digest").agg(F.min("id").alias("top")), "classes")
+    nodes = stored(full.groupBy("digest").agg(F.min("id").alias("top"), F.min("n_shingles").alias("n")), "classes")
     links = full.join(nodes, "digest").where("id != top").select(F.col("top").alias("a"), F.col("id").alias("b"))
 
     table = slot_counts(seen.where("chunk IS NOT NULL").select("chunk", "counts"))
     classes = Classes.of(table, nodes.count(), percent)
-    indexed = rows.mapInArrow(_indexed(table, classes, width), "id long, digest binary, keys array<long>").where("keys IS NOT NULL")
-    keys = stored(indexed.join(nodes.select("digest", F.col("top").alias("id")), ["digest", "id"]).select("id", "digest", "keys"), "prefixes")
+    keys = stored(rows.mapInArrow(_indexed(table, classes, width), "id long, keys array<long>").where("keys IS NOT NULL"), "prefixes")
     held = keys.select("id", F.explode("keys").alias("key"))
-    crowded = held.groupBy("key").agg(F.min("id").alias("_l"), F.max("id").alias("_h")).where("_l != _h")
-    bucket = stored(held.join(crowded.select("key"), "key").distinct(), "keys")
-    wanted = bucket.select("id").distinct().join(nodes.select(F.col("top").alias("id"), "digest"), "id")
-    sets = stored(rows.join(wanted, "id").distinct().mapInArrow(_sets(width), "id long, items array<long>"), "sets")
-
-    labels = _verified(bucket, sets, links, percent)
+    # Counted before the shuffle; written, so that the join below may split a key that very many sets have.
+    crowded = stored(held.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "crowded")
+    tops = nodes.groupBy(F.col("top").alias("id")).agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    shared = stored(held.join(crowded, "key").distinct().join(tops, "id"), "shared")
+    ends = shared.groupBy("key").agg(
+        F.count("*").alias("c"), F.min("id").alias("a"), F.max("id").alias("b"), F.max("low").alias("large"), F.min("high").alias("small")
+    ).where("c > 1")
+    ends = stored(ends, "ends")
+    # A key of two sets is one comparison, and none when their sizes differ too much.
+    pairs = ends.where(f"c = 2 AND {percent} * large <= 100 * small").select("a", "b").distinct()
+    bucket = shared.join(ends.where("c > 2").select("key"), "key").select("key", "id").withColumn("label", F.col("id"))
+    bucket, pairs = stored(bucket, "keys"), stored(pairs, "pairs")
+    wanted = bucket.select("id").unionByName(pairs.select(F.col("a").alias("id"))).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    wanted = stored(wanted.join(nodes.select(F.col("top").alias("id"), "digest"), "id"), "wanted")
+    small = wanted.count() <= BROADCAST_IDS
+    sets = stored(rows.join(F.broadcast(wanted) if small else wanted, "id").distinct().mapInArrow(_sets(width), "id long, items array<long>"), "sets")
+
+    labels = _verified(bucket, pairs, sets, links, percent)
     whole = read.select("id", "n_shingles").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     plain = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
     return whole.select(plain("id").alias("doc_id"), "n_shingles", plain("label").alias("component_id"))
