@@ -212,7 +212,7 @@ def _sets(width: int):
 def _verified(bucket: DataFrame, pairs: DataFrame, sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """(id, label): components of the links of `found`, of `pairs` (a, b) and of all links within the keys of `bucket` (key, id).
 
-    Keys stay apart, so that an id leaves as soon as no other id of a key can be linked with it.
+    An id leaves as soon as no other id of a key can be linked with it.
     """
     slack = 1 - percent / 100 + 1e-9
     linked = 100 * F.col("both") >= percent * F.col("either")
@@ -222,15 +222,16 @@ def _verified(bucket: DataFrame, pairs: DataFrame, sets: DataFrame, found: DataF
         crowd = bucket.groupBy("key").agg(F.count("*").alias("crowd"))
         fame = bucket.join(crowd, "key").groupBy("id").agg(F.sum("crowd").alias("fame"))
         pivots = bucket.join(fame, "id").groupBy("key").agg(F.max_by("id", F.struct("fame", F.bitwise_not("id"))).alias("a"))
-        against = stored(bucket.select("key", "id").join(pivots, "key").where("id != a"), "against")
-        judged = stored(_similar(against.select("a", F.col("id").alias("b")).unionByName(pairs).distinct(), sets), "judged")
+        against = stored(bucket.select("key", "id").join(pivots, "key").where("id != a").select("a", F.col("id").alias("b")).distinct(), "against")
+        judged = stored(_similar(against.unionByName(pairs).distinct(), sets), "judged")
         found = found.unionByName(judged.where(linked).select("a", "b"))
         labels = stored(components(found), "labels")
         found = labels.select(F.col("label").alias("a"), F.col("id").alias("b"))
         # Sets that may be linked are at distances from their pivot that differ by `slack` at most, and share one of two bands.
-        placed = against.join(judged.select("a", F.col("b").alias("id"), (1 - F.col("both") / F.col("either")).alias("far")), ["a", "id"])
-        bands = F.array(*[F.xxhash64("key", F.lit(k), F.floor(F.col("far") / (2 * slack) + k / 2)) for k in (0, 1)])
-        placed = placed.select("a", "id", "far", F.explode(bands).alias("key")).distinct()
+        # Keys with one pivot become one.
+        placed = judged.join(against, ["a", "b"]).select("a", F.col("b").alias("id"), (1 - F.col("both") / F.col("either")).alias("far")).distinct()
+        bands = F.array(*[F.xxhash64("a", F.lit(k), F.floor(F.col("far") / (2 * slack) + k / 2)) for k in (0, 1)])
+        placed = placed.withColumn("key", F.explode(bands))
         bucket = stored(_possible(_mixed(placed, labels), sets, percent), "keys")
         if bucket.isEmpty():
             return labels
