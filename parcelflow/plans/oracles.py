@@ -248,3 +248,11 @@ ORACLES["lookup_rule_text"] = f"""
     FROM u LEFT JOIN nation ON file_uri = 'rules/' || n_nationkey"""
 ORACLES["evaluate_rules_joined"] = ORACLES["evaluate_rules"]
 ORACLES["search_map_first_subkey"] = ORACLES["search_map"]
+ORACLES["evaluate_rules_numeric"] = """
+    WITH r AS (
+      SELECT c_mktsegment AS ruleset, c_name AS rule_id, c_custkey % 4 AS kind, c_custkey * 7919 % 500000 AS base, c_custkey % 5000 AS low FROM customer),
+    o AS (
+      SELECT o_orderkey, c_mktsegment AS ruleset, CAST(o_totalprice AS DOUBLE) AS price FROM orders JOIN customer ON o_custkey = c_custkey)
+    SELECT o_orderkey, ruleset, rule_id FROM o JOIN r USING (ruleset)
+    WHERE CASE kind WHEN 0 THEN price > base + 300000.5 WHEN 1 THEN price BETWEEN base AND base + 40
+      WHEN 2 THEN price < low ELSE price >= base AND price < base + 40 END"""

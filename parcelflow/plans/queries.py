@@ -354,6 +354,26 @@ def evaluate_rules_joined(spark, folder):
     )
 
 
+@query
+def evaluate_rules_numeric(spark, folder):
+    """Orders against a rule per customer over the order's price, all in the sets of the customers' segments."""
+    customers = table(spark, folder, "customer")
+    base = (F.col("c_custkey") * 7919 % 500_000).cast("string")
+    more = (F.col("c_custkey") * 7919 % 500_000 + 40).cast("string")
+    when = F.element_at(F.array(
+        F.concat(F.lit("price > "), (F.col("c_custkey") * 7919 % 500_000 + 300_000).cast("string"), F.lit(".5")),
+        F.concat(F.lit("price BETWEEN "), base, F.lit(" AND "), more),
+        F.concat(F.lit("CAST(price_text AS DOUBLE) < "), (F.col("c_custkey") % 5000).cast("string")),
+        F.concat(F.lit("price >= "), base, F.lit(" AND price < "), more),
+    ), (F.col("c_custkey") % 4 + 1).cast("int"))
+    rules = _customer_rules(spark, folder).drop("when_sql").join(
+        customers.select(F.col("c_name").alias("rule_id"), when.alias("when_sql")), "rule_id")
+    segments = customers.select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("ruleset"))
+    price = F.col("o_totalprice").cast("double")
+    orders = table(spark, folder, "orders").join(segments, "o_custkey").select("o_orderkey", "ruleset", price.alias("price"), price.cast("string").alias("price_text"))
+    return R.evaluate_rules(orders, rules).select("o_orderkey", "ruleset", "rule_id")
+
+
 def _trees(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as nested JSON; where the text sits depends on the document."""
     kind, text = F.col("doc_id") % 5, F.to_json(F.struct("text"))
