@@ -112,7 +112,12 @@ def request_key(url: Column, data: Column, attr: Column) -> Column:
     )
 
 
-_ANSWER = "request string, answer string, ok boolean, fetched_at timestamp, hour string"
+def request_hash(request: Column) -> Column:
+    """128 bits that stand for a request's text where it is grouped and joined."""
+    return F.unhex(F.md5(request.cast("binary")))
+
+
+_ANSWER = "request binary, answer string, ok boolean, fetched_at timestamp, hour string"
 
 
 def _hour(clock: Column) -> Column:
@@ -154,7 +159,7 @@ def enrich_cached(
     # One instant for the whole call, also where its result is computed later.
     clock = now if now is not None else F.current_timestamp()
     now = F.timestamp_micros(F.lit(df.sparkSession.range(1).select(F.unix_micros(clock)).first()[0]))
-    asked = df.withColumn("request", request_key(url, data, attr))
+    asked = df.withColumn("request", request_hash(request_key(url, data, attr)))
     distinct = asked.select("request", url.alias("url"), data.alias("data"), F.map_entries(attr).alias("attr")) \
         .groupBy("request").agg(F.first("url").alias("url"), F.first("data").alias("data"), F.first("attr").alias("attr"))
     kept = _recent(df.sparkSession, cache, now, ttl).where("ok").select("request").distinct()
@@ -175,7 +180,7 @@ def enrich_cached(
                     good.append(False)
             yield pd.DataFrame({"request": batch["request"], "answer": answers, "ok": good})
 
-    fetched = missing.mapInPandas(ask, "request string, answer string, ok boolean")
+    fetched = missing.mapInPandas(ask, "request binary, answer string, ok boolean")
     # Failures are stored for this call's read-back; `ok` keeps them from being reused.
     fetched.select("*", now.alias("fetched_at"), _hour(now).alias("hour")).write.mode("append").partitionBy("hour").parquet(cache)
     stored = _recent(df.sparkSession, cache, now, ttl)

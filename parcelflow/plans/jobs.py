@@ -123,13 +123,16 @@ def business_job(
     """
     rules = rules() if callable(rules) else rules
     decoded = unpack(messages, encoding).persist(StorageLevel.MEMORY_AND_DISK)
+    kept = [decoded]
     try:
         files.archive_raw(decoded, target.root, target.app, batch_id)
         bad = outcome.problem("DECODE", "message is not an envelope", "malformed input", "business_job")
         read = decoded.where("envelope IS NOT NULL")
         files.archive_parsed(read.withColumn("json", F.to_json("envelope")), target.root, target.app, batch_id)
         received = [name for name in MESSAGE.names if name in messages.columns]
-        fired = R.evaluate_rules(R.select_ruleset(read.select(*received, "envelope.*"), rules), rules)
+        # Kept for the errors, the requests, their reports and the SQL rows, which all read it.
+        fired = R.evaluate_rules(R.select_ruleset(read.select(*received, "envelope.*"), rules), rules).persist(StorageLevel.MEMORY_AND_DISK)
+        kept.append(fired)
         lost = "channel IS NULL" if jdbc is not None else "channel IS NULL OR channel = 'SQL'"
         nowhere = outcome.problem(
             "DELIVER", "concat('rule ', coalesce(rule_id, ''), ' has no channel or store to go to')", "not delivered", "business_job", quoted=False)
@@ -144,4 +147,5 @@ def business_job(
         if jdbc is not None:
             tables.insert_sql(tables.sql_rows(fired.where("channel = 'SQL'"), F.col("timestamp")), **jdbc)
     finally:
-        decoded.unpersist()
+        for frame in kept:
+            frame.unpersist()

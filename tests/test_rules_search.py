@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 
 import pytest
 from conftest import plan_of
@@ -216,3 +217,13 @@ def test_rule_text_by_location(spark):
     fallback = ("default", "rule d")
     assert got == {"a": ("a", "rule a"), "b": ("b", "rule b"), "c": fallback, "other": fallback, None: fallback}
     assert R.lookup_rule_text(sources, places, texts.where("false")).where("rule IS NULL AND rule_name = 'default'").count() == 5
+
+
+def test_patterns_over_very_long_locations(spark):
+    """Beginnings, ends and parts of 2,000 characters; a location costs numbers in proportion to its length."""
+    long = ["ab" * 1000 + str(k) for k in range(40)]
+    places = spark.createDataFrame([(p, f"u{k}", k) for k, p in enumerate(long)], "sourceid string, file_uri string, load_seq long")
+    patterns = [long[7], long[8][:-1] + "%", "%b39", "ab%b1_", "%" + "ba" * 500 + "%", "a" + "_" * 2000, "ab" * 1001 + "%", "%zz%", "abab%25"]
+    found = {r.sourceid: r.file_uri for r in R.lookup_rule_uri(spark.createDataFrame([(p,) for p in patterns], "sourceid string"), places).collect()}
+    like = lambda p: [k for k, x in enumerate(long) if re.fullmatch(p.replace("%", ".*").replace("_", "."), x)]
+    assert found == {p: f"u{max(like(p))}" if like(p) else None for p in patterns}
