@@ -22,6 +22,8 @@ WIDTH, THRESHOLD = 5, 0.8
 BLOCKS, BLOCK_BITS = 16, 8
 #: Shingles of all items that are broadcast; a larger benchmark is joined by shuffles.
 BROADCAST_SHINGLES = 1_000_000
+#: Rows of the index of items that are broadcast: 40 MB at most.
+BROADCAST_INDEX = 1_000_000
 
 
 def normal_words(text: Column) -> Column:
@@ -75,7 +77,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
     texts = texts.withColumn("version", F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.col("doc_id").isNull(), "text"))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), normal_words(F.col("text")).alias("w")).where(F.size("w") >= WIDTH).distinct()
-    items = stored(items.select("item_id", F.size("w").alias("length"), shingles(F.col("w")).alias("theirs")), "items")
+    items = stored(items.select(
+        F.xxhash64(F.coalesce("item_id", F.lit(-1)), F.col("item_id").isNull(), "w").alias("item"), "item_id", F.size("w").alias("length"), shingles(F.col("w")).alias("theirs")
+    ), "items")
 
     spots = items.select("length", F.posexplode("theirs").alias("q", "shingle")).distinct()
     small = spots.limit(BROADCAST_SHINGLES + 1).count() <= BROADCAST_SHINGLES
@@ -86,16 +90,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     hits = seen.join(F.broadcast(spots) if small else spots, "shingle").select("version", "length", start.alias("start")).distinct()
     # A document has no more windows than words and item sizes.
     wanted = hits.groupBy("version").agg(F.collect_list(F.struct("length", "start")).alias("windows"))
-    cut = texts.join(wanted, "version").select("doc_id", "windows", shingles(normal_words(F.col("text"))).alias("all"))
+    cut = texts.join(wanted, "version").select("version", "doc_id", "windows", shingles(normal_words(F.col("text"))).alias("all"))
     mine = F.transform("windows", lambda w: F.struct(w["length"].alias("length"), w["start"].alias("start"), F.slice(F.col("all"), w["start"] + 1, w["length"] - WIDTH + 1).alias("mine")))
-    windows = stored(cut.select("doc_id", F.explode(mine).alias("w")).select("doc_id", "w.*").distinct(), "windows")
+    windows = stored(cut.select("version", "doc_id", F.explode(mine).alias("w")).select("version", "doc_id", "w.*").distinct(), "windows")
 
-    marked = windows.select("doc_id", "length", "start", "mine", F.posexplode(simhash(F.col("mine"))).alias("block", "value"))
+    marked = windows.select("version", "doc_id", "length", "start", "mine", F.posexplode(simhash(F.col("mine"))).alias("block", "value"))
     flips = F.array(F.lit(0), *[F.lit(1 << b) for b in range(BLOCK_BITS)])
-    index = items.select("item_id", "length", "theirs", F.posexplode(simhash(F.col("theirs"))).alias("block", "own"))
-    index = index.select("item_id", "length", "theirs", "block", F.explode(F.transform(flips, lambda f: F.col("own").bitwiseXOR(f))).alias("value"))
-    met = marked.join(F.broadcast(index) if small else index, ["length", "block", "value"])
-    met = met.groupBy("doc_id", "start", "length", "item_id").agg(F.first("mine").alias("mine"), F.first("theirs").alias("theirs"))
+    index = items.select("item", "length", F.posexplode(simhash(F.col("theirs"))).alias("block", "own"))
+    index = index.select("item", "length", "block", F.explode(F.transform(flips, lambda f: F.col("own").bitwiseXOR(f))).alias("value"))
+    # What is broadcast has a row of four numbers per item, block and value.
+    few = items.limit(BROADCAST_INDEX // (BLOCKS * (BLOCK_BITS + 1)) + 1).count() * BLOCKS * (BLOCK_BITS + 1) <= BROADCAST_INDEX
+    met = marked.join(F.broadcast(index) if few else index, ["length", "block", "value"])
+    # Texts that share an id are judged apart, by their version; the best window of the id is taken last.
+    met = met.groupBy("version", "doc_id", "start", "length", "item").agg(F.first("mine").alias("mine"))
+    met = met.join(F.broadcast(items.drop("length")) if few and small else items.drop("length"), "item")
     both = met.withColumn("both", overlap(F.col("mine"), F.col("theirs")))
     judged = both.withColumn("similarity", F.col("both") / (F.size("mine") + F.size("theirs") - F.col("both"))).where(F.col("similarity") >= threshold)
     best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), (F.size("mine") + WIDTH - 1).alias("n_words"))).alias("best")

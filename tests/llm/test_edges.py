@@ -226,3 +226,16 @@ def test_distrust_reaches_all_that_link_to_a_blocked_host(spark):
     blocked = {"bad.net", "linked.org", "far.org", *(f"farm{k}.org" for k in range(300))}
     assert {h for h, v in found.items() if v == "block"} == blocked
     assert {h for h, v in found.items() if v == "allow"} == {"hub.com", "fine.org", "mixed.org", "backed.org"}
+
+
+@pytest.mark.parametrize("order", [1, -1])
+def test_texts_that_share_an_id_are_judged_apart(spark, order):
+    """An exact copy of an item beside a text with three words changed, under one id or none; the best of both counts."""
+    item = [f"term{k}" for k in range(40)]
+    near = [w if k not in (8, 20, 32) else w + "x" for k, w in enumerate(item)]
+    rows = [(i, " ".join(t)) for i in (7, None) for t in (item, near)][::order]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    items = spark.createDataFrame([(1, " ".join(item)), (None, " ".join(item))], "item_id long, text string")
+    found = {(r.doc_id, r.item_id, r.similarity, r.start, r.n_words) for r in decontaminate.contaminated(docs, items).collect()}
+    assert found == {(d, i, 1.0, 0, 40) for d in (7, None) for i in (1, None)}
+    assert decontaminate.without_contaminated(docs, items).count() == 0
