@@ -55,7 +55,7 @@ STAGES = [
     ("tokens", tokens),
 ]
 
-#: Token ids and sampling by hash cannot be expressed in SQL; the pipeline is tested against brute force.
+#: Token ids and sampling by hash cannot be expressed in SQL. Tests hold the operators to brute force, the stages only to columns and row counts.
 ORACLE_SQL = None
 
 
