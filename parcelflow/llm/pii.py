@@ -94,7 +94,7 @@ def chains(text: str) -> list[list[tuple[int, int]]]:
 
 def shape(word: str) -> str:
     """Digits as d, letters as x or X, other characters as they are; runs shortened to one."""
-    plain = re.sub(r"[0-9]+", "d", re.sub(r"[^\W\d_]+", lambda m: "X" if m[0][0].isupper() else "x", word[:80]))
+    plain = re.sub(r"[0-9]+", "d", re.sub(r"[^\W\d_]+", lambda m: "X" if m[0][0].isupper() else "x", word))
     return re.sub(r"(.)\1+", r"\1", plain)
 
 
@@ -104,7 +104,7 @@ def features(text: str, chain: list[tuple[int, int]]) -> list[list[str]]:
     shapes = ["", *map(shape, words), ""]
     out = []
     for k, word in enumerate(words, 1):
-        digits = sum(c in "0123456789" for c in word[:80])
+        digits = sum(c in "0123456789" for c in word)
         core = word.strip(".,;:!?()[]{}<>\"'#*$%&|")
         out.append([
             "w=" + shapes[k], "c=" + shape(core), f"d={min(digits, 20)}", f"l={min(len(word), 80) // 4}", "b=" + word[0] if not word[0].isalnum() else "b=",
@@ -240,12 +240,12 @@ def _labels(chain: list[tuple[int, int]], spans: list[Span]) -> list[int]:
 
 def _plausible(kind: int, piece: str) -> bool:
     """Whether a span keeps the checks of its kind, however it is written."""
-    digits = re.findall("[0-9]+", piece[:200])
+    digits = re.findall("[0-9]+", piece)
     if kind == 0:
         name, _, place = piece.partition("@")
         return any(c.isalnum() for c in name) and "." in place.strip(".")
     if kind == 1:
-        return len(digits) == 4 and all(int(d) <= 255 for d in digits)
+        return len(digits) == 4 and all(len(d.lstrip("0")) <= 3 and int(d[-3:]) <= 255 for d in digits)
     if kind == 2:
         return 13 <= len("".join(digits)) <= 19 and _luhn("".join(digits))
     return 9 <= len("".join(digits)) <= 15
