@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 from collections.abc import Callable, Iterator
 
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.envelope import create_date
 from ..schemas import OUTBOX
+from ..sinks.files import run_name, write_batch
 from .lookup import left_lookup
 from .outcome import error_reports
 
@@ -79,6 +81,11 @@ def error_outbox(letters: DataFrame, uri: str, path: str = "exceptions") -> Data
     ).select(*OUTBOX.names)
 
 
+# What one request of a batch is known by.
+_REQUEST = ("messageid", "ruleset", "rule_id", "channel")
+_RESULT = "messageid string, ruleset string, rule_id string, channel string, result string"
+
+
 def deliver(outbox: DataFrame, send: Callable[[dict], str], partitions: int | None = None) -> DataFrame:
     """Adds `result`: what `send(request)` returned, or EXCEPTION_ and the failure's text.
 
@@ -98,10 +105,46 @@ def deliver(outbox: DataFrame, send: Callable[[dict], str], partitions: int | No
                     results.append(send(request))
                 except Exception as failure:  # noqa: BLE001 - any failure is a result
                     results.append(f"{EXCEPTION}{failure}")
-            kept = batch[["messageid", "ruleset", "rule_id", "channel"]]
+            kept = batch[list(_REQUEST)]
             yield kept.assign(result=pd.Series(results, index=kept.index, dtype=object))
 
-    return spread.mapInPandas(run, "messageid string, ruleset string, rule_id string, channel string, result string")
+    return spread.mapInPandas(run, _RESULT)
+
+
+def _stored_or_none(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """A stored frame, or None where nothing has been written."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as failure:
+        if failure.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def deliver_once(
+    outbox: DataFrame, send: Callable[[dict], str], path: str, batch_id: int | str | None = None, partitions: int | None = None,
+    run: str | None = None,
+) -> None:
+    """Delivers a batch and writes its results to `path`; what the batch has results for is not sent again.
+
+    The results are the record: a batch that is run again, after a crash between
+    its results and the stream's checkpoint, reads those of its own number and
+    run (one folder, whatever the history), sends the requests that have none
+    and adds theirs. A failed call has a result too. Requests lost with a
+    task before the results were written are sent again. Requests that agree
+    in messageid, ruleset, rule_id and channel, nulls included, are the same
+    request, and each of them is sent when none has a result.
+    """
+    run, number = run or run_name(outbox.sparkSession, batch_id), str(batch_id or 0)
+    for name in (run, number):
+        if not re.fullmatch(r"[A-Za-z0-9_.-]+", name):
+            raise ValueError(f"a run and a batch are named by letters, digits, '_', '.' and '-', not {name!r}")
+    known = _stored_or_none(outbox.sparkSession, f"{path}/batch={number}/run={run}", _RESULT)
+    if known is not None:
+        known = known.select(*(F.col(name).alias(f"_{name}") for name in _REQUEST))
+        same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in _REQUEST]
+        outbox = outbox.join(known, same, "left_anti")
+    write_batch(deliver(outbox, send, partitions), path, batch_id, run=run, add=known is not None)
 
 
 def request_key(url: Column, data: Column, attr: Column) -> Column:
@@ -127,11 +170,8 @@ def _hour(clock: Column) -> Column:
 def _recent(spark: SparkSession, cache: str, now: Column, ttl: str) -> DataFrame:
     """Stored answers younger than `ttl`; the hour they were fetched in prunes the rest of the folder."""
     oldest = now - F.expr(f"INTERVAL {ttl}")
-    try:
-        stored = spark.read.schema(_ANSWER).parquet(cache)
-    except AnalysisException as failure:
-        if failure.getCondition() != "PATH_NOT_FOUND":
-            raise
+    stored = _stored_or_none(spark, cache, _ANSWER)
+    if stored is None:
         stored = spark.createDataFrame([], _ANSWER)
     return stored.where(F.col("hour") >= _hour(oldest)).where(F.col("fetched_at") > oldest)
 

@@ -113,7 +113,7 @@ def business_job(
     error_uri: str | None = None,
     encoding: str = "avro",
 ) -> None:
-    """Envelopes to rules to requests. Results are written once per batch.
+    """Envelopes to rules to requests. Results are written once per batch, and a batch run again sends only what has none.
 
     `encoding` is that of the messages, Avro or JSON text. `rules` may be a function, which reads them anew for every batch of a
     stream. SQL rows go to `jdbc`, the options of `insert_sql`, under the
@@ -143,7 +143,7 @@ def business_job(
         requests = O.build_outbox(fired.where("channel != 'SQL'"))
         if error_uri is not None:
             requests = requests.unionByName(O.error_outbox(letters, error_uri))
-        files.write_batch(O.deliver(requests, send), f"{target.root}/{target.app}/RESULTS", batch_id)
+        O.deliver_once(requests, send, f"{target.root}/{target.app}/RESULTS", batch_id)
         if jdbc is not None:
             tables.insert_sql(tables.sql_rows(fired.where("channel = 'SQL'"), F.col("timestamp")), **jdbc)
     finally:

@@ -247,6 +247,8 @@ ORACLES["lookup_rule_text"] = f"""
       CASE WHEN n_regionkey > 0 THEN 'rule of ' || n_name ELSE (SELECT r_name FROM region WHERE r_regionkey = 0) END AS rule
     FROM u LEFT JOIN nation ON file_uri = 'rules/' || n_nationkey"""
 ORACLES["evaluate_rules_joined"] = ORACLES["evaluate_rules"]
+ORACLES["deliver_again"] = ORACLES["deliver"]
+ORACLES["batch_counts_observed"] = ORACLES["batch_counts"]
 ORACLES["search_map_first_subkey"] = ORACLES["search_map"]
 ORACLES["evaluate_rules_numeric"] = """
     WITH r AS (

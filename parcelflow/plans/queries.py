@@ -460,6 +460,25 @@ def deliver(spark, folder):
     return spark.read.parquet(path).select("messageid", "rule_id", "channel", "result")
 
 
+@query
+def deliver_again(spark, folder):
+    """A batch of which some requests have results is run again: those keep theirs, the others are sent."""
+    path, requests = shared_folder(spark, "results"), _requests(spark, folder)
+
+    def answered(request: dict) -> str:
+        return f"{request['method']} {request['uri']} {request['path']}"
+
+    def broker_only(request: dict) -> str:
+        if request["channel"] == "MQTT":
+            raise ConnectionError("broker away")
+        return "sent again"
+
+    O.deliver_once(requests.where("channel != 'MQTT'"), answered, path, 7, run="replay")
+    for _ in range(2):
+        O.deliver_once(requests, broker_only, path, 7, run="replay")
+    return spark.read.parquet(path).select("messageid", "rule_id", "channel", "result")
+
+
 @query
 def enrich_cached(spark, folder):
     def look_up(request: dict) -> str:
@@ -560,4 +579,20 @@ def batch_counts(spark, folder):
     return spark.read.parquet(f"{root}/counts").groupBy("topic").agg(F.sum("messages").alias("messages"))
 
 
+@query
+def batch_counts_observed(spark, folder):
+    """Counts per topic, taken while the stream's batches are archived."""
+    configure(spark)
+    root, batches = shared_folder(spark, "stream"), {}
+
+    def archive(batch: DataFrame, batch_id: int) -> None:
+        files.archive_raw(batch, root, "counted", batch_id)
+
+    step = run.observed_counts(archive, TOPICS, batches.__setitem__)
+    run.run_stream(_event_stream(spark, folder), step, f"{root}/checkpoint").awaitTermination()
+    rows = [(batch_id, topic, n) for batch_id, counts in batches.items() for topic, n in counts.items()]
+    counted = spark.createDataFrame(rows, "batch long, topic string, n long")
+    return counted.groupBy("topic").agg(F.sum("n").alias("messages"))
+
+
 __all__ = ["QUERIES", "flat"]

@@ -27,15 +27,17 @@ def run_name(spark: SparkSession, batch_id: int | str | None) -> str:
 
 def write_batch(
     df: DataFrame, path: str, batch_id: int | str | None = None, partition_by: tuple[str, ...] = (), fmt: str = "parquet",
-    run: str | None = None,
+    run: str | None = None, add: bool = False,
 ) -> None:
     """Write one batch's rows, replacing what an earlier attempt of the same batch wrote.
 
     `partition_by` columns come first, so that a filter on them prunes files.
+    With `add` the rows join those of earlier attempts.
     """
     columns = [*partition_by, "batch", "run"]
     numbered = df.withColumns({"batch": F.lit(str(batch_id or 0)), "run": F.lit(run or run_name(df.sparkSession, batch_id))})
-    numbered.write.format(fmt).mode("overwrite").options(**_REPLACE).partitionBy(*columns).save(path)
+    mode = "append" if add else "overwrite"
+    numbered.write.format(fmt).mode(mode).options(**_REPLACE).partitionBy(*columns).save(path)
 
 
 def _day():

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sinks.files import write_batch
 
 Step = Callable[[DataFrame, int], None]
 
+#: What `observed_counts` names the messages of all topics it was not told of.
+OTHER = "(other)"
+
 
 def run_stream(
     stream: DataFrame, step: Step, checkpoint: str, interval: str | None = None, name: str | None = None
@@ -61,3 +64,28 @@ def count_batch(path: str, by: tuple[str, ...] = ("topic",)) -> Step:
         write_batch(counts, path, batch_id)
 
     return step
+
+
+def observed_counts(step: Step, topics: Sequence[str], report: Callable[[int, dict[str, int]], None]) -> Step:
+    """`step`, with the messages per topic counted while it reads its batch: no job of its own.
+
+    After the step, `report` is told the batch's number and its messages by
+    topic; those of topics not listed, or of none, count under `OTHER`. A batch
+    run again is reported again under the same number, so a report that
+    keeps one entry per number adds up after a restart. The counts are those of
+    the first action of the step, which has to read the whole batch; a stage
+    run again after a lost executor may count its messages twice, where
+    `count_batch` does not.
+    """
+    names = list(dict.fromkeys(topics))
+
+    def counting(batch: DataFrame, batch_id: int) -> None:
+        seen = Observation()
+        hits = [F.count_if(F.col("topic") == name).alias(f"n{k}") for k, name in enumerate(names)]
+        step(batch.observe(seen, F.count(F.lit(1)).alias("all"), *hits), batch_id)
+        got = seen.get
+        counts = {name: got.get(f"n{k}", 0) for k, name in enumerate(names)}
+        counts[OTHER] = got.get("all", 0) - sum(counts.values())
+        report(batch_id, {name: n for name, n in counts.items() if n})
+
+    return counting

@@ -3,6 +3,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from parcelflow.functions import avro as A
@@ -209,3 +210,31 @@ def test_overwrite_text(spark, tmp_path):
 
 def test_package_check(spark):
     assert A.package_available(spark) in (True, False)
+
+
+def test_requests_with_a_result_are_not_sent_again(spark, tmp_path):
+    """Nulls in a request's name, equal requests, another batch and another run of the same number, an empty batch."""
+    from parcelflow.schemas import OUTBOX
+
+    path = str(tmp_path / "results")
+
+    def requests(*names):
+        rows = [(*name, "POST", "u", "p", {}, "b", "s", 0) for name in names]
+        by = ("messageid", "ruleset", "rule_id", "channel", "method", "uri", "path", "headers", "body", "schema_ref", "salience")
+        return spark.createDataFrame([tuple(dict(zip(by, row))[f] for f in OUTBOX.names) for row in rows], OUTBOX)
+
+    def results():
+        return sorted((str(r.messageid), r.result, str(r.batch), r.run) for r in spark.read.parquet(path).collect())
+
+    one, nameless, twice, new = ("1", "r", "a", "REST"), (None, None, "a", "REST"), ("2", "r", "b", "REST"), ("3", "r", "a", "ES")
+    O.deliver_once(requests(one, nameless, twice, twice), lambda r: "first", path, 5, run="x")
+    O.deliver_once(requests(one, nameless, twice, twice, new), lambda r: "second", path, 5, run="x")
+    O.deliver_once(requests(one, nameless, twice, twice, new), lambda r: "third", path, 5, run="x")
+    O.deliver_once(requests(), lambda r: "none", path, 5, run="x")
+    mine = [("1", "first", "5", "x"), ("2", "first", "5", "x"), ("2", "first", "5", "x"), ("3", "second", "5", "x"), ("None", "first", "5", "x")]
+    assert results() == mine
+    O.deliver_once(requests(one), lambda r: "other batch", path, 6, run="x")
+    O.deliver_once(requests(one), lambda r: "other run", path, 5, run="y")
+    assert results() == sorted([*mine, ("1", "other batch", "6", "x"), ("1", "other run", "5", "y")])
+    with pytest.raises(ValueError, match="named by"):
+        O.deliver_once(requests(one), lambda r: "", path, 5, run="a/b")

@@ -266,3 +266,79 @@ def test_a_batch_reads_its_source_once(spark, topic_folder, tmp_path):
     jobs.security_job(messages.mapInArrow(counted, messages.schema), jobs.Target(str(tmp_path), "security"))
     assert reads.value == total
     assert spark.read.parquet(f"{tmp_path}/security/RAW").count() == total
+
+
+def test_counts_observed_cost_no_job_and_add_up_after_a_restart(spark, topic_folder, tmp_path):
+    root, jobs_of, counts, failed = str(tmp_path), {}, {}, []
+    known = ["device.event", "device.out", "device.event"]
+
+    def archive(batch, batch_id):
+        files.archive_raw(batch, root, "plain", batch_id)
+
+    def breaks_once(batch, batch_id):
+        archive(batch, batch_id)
+        if batch_id == 1 and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("lost after writing")
+
+    def stream(step, checkpoint):
+        messages = read_messages(spark, TOPICS, "stream", topic_folder, maxFilesPerTrigger="1")
+        query = run.run_stream(messages, step, f"{root}/{checkpoint}")
+        query.awaitTermination()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(str(query.runId)))
+
+    jobs_of["plain"] = stream(archive, "plain")
+    jobs_of["observed"] = stream(run.observed_counts(archive, known, lambda n, c: None), "observed")
+    jobs_of["own job"] = stream(run.foreach_batch(archive, run.count_batch(f"{root}/counts")), "own")
+    assert jobs_of["observed"] == jobs_of["plain"] < jobs_of["own job"]
+
+    step = run.observed_counts(breaks_once, known, counts.__setitem__)
+    with pytest.raises(Exception, match="lost after writing"):
+        stream(step, "restarted")
+    assert sorted(counts) == [0]
+    stream(step, "restarted")
+    assert sorted(counts) == [0, 1, 2, 3] and failed
+    topics = {r.topic: r["count"] for r in spark.read.parquet(topic_folder).groupBy("topic").count().collect()}
+    want = {name: topics[name] for name in known} | {run.OTHER: sum(n for t, n in topics.items() if t not in known)}
+    assert {name: sum(c.get(name, 0) for c in counts.values()) for name in want} == want
+
+
+def test_counts_of_an_empty_batch(spark, topic_folder, tmp_path):
+    counts = {}
+    step = run.observed_counts(lambda batch, n: files.write_batch(batch, f"{tmp_path}/out", n), ["a"], counts.__setitem__)
+    for k, none in enumerate((spark.createDataFrame([], MESSAGE), spark.read.parquet(topic_folder).where("topic = 'no such topic'"))):
+        step(none, k)
+    assert counts == {0: {}, 1: {}}
+
+
+def test_a_business_batch_run_again_sends_nothing_twice(spark, topic_folder, tmp_path):
+    """Lost after its results were written and before the checkpoint: the same requests, each sent once."""
+    root = str(tmp_path)
+    messages = read_messages(spark, TOPICS, "batch", topic_folder)
+    jobs.security_job(messages, jobs.Target(root, "security", encoding="json"))
+    envelopes = spark.read.parquet(f"{root}/security/TOPIC").select(
+        "topic", F.lit(0).alias("partition"), F.lit(0).cast("bigint").alias("offset"),
+        F.current_timestamp().alias("timestamp"), F.lit(None).cast("string").alias("key"), "value")
+    envelopes.write.parquet(f"{root}/envelopes")
+    rules = default_rules(spark, "http://r", "http://i", "tcp://b", "s")
+    sent, failed = spark.sparkContext.accumulator(0), []
+
+    def send(request):
+        sent.add(1)
+        return request["rule_id"]
+
+    def breaks_once(batch, batch_id):
+        jobs.business_job(batch, rules, send, jobs.Target(root, "business"), batch_id, encoding="json")
+        if not failed:
+            failed.append(batch_id)
+            raise RuntimeError("lost after sending")
+
+    def stream():
+        return run.run_stream(read_messages(spark, "envelopes", "stream", f"{root}/envelopes"), breaks_once, f"{root}/checkpoint")
+
+    with pytest.raises(Exception, match="lost after sending"):
+        stream().awaitTermination()
+    first = sent.value
+    stream().awaitTermination()
+    assert failed and sent.value == first > 0
+    assert spark.read.parquet(f"{root}/business/RESULTS").count() == first
