@@ -9,9 +9,9 @@ itself: boundaries stand on both of its sides.
 A passage of two or three short lines seldom holds a whole chunk, since the
 lines around it decide where its first and last chunk end. So every line also
 starts a run, whose end depends on its content alone: it is the line at which
-the run holds over `MASS` words. Mixed runs go through long lines too, and another
+the run holds over `MASS` words. Runs go through long lines too, and another
 goes backwards from each line.
-Whatever stands around a passage of more words than that, its mixed runs are the
+Whatever stands around a passage of more words than that, its runs are the
 same everywhere, and together they hold all of its lines: a line after which the
 passage ends too soon for a run forwards, and before which it starts too late for
 one backwards, lies in the run from the passage's first line.
@@ -34,6 +34,8 @@ BACK, EVERY = 2, 2
 MASS = 50
 #: Lines of a run that are summed first; most runs are shorter.
 STEP = 4
+#: A span is one number, its first line times this plus its lines: sets of numbers are hashed, sets of structs compared pair by pair.
+SPAN = 1 << 31
 
 
 def chunk_starts(lines: Column) -> Column:
@@ -47,18 +49,22 @@ def chunk_starts(lines: Column) -> Column:
     return let(hashes, lambda h: let(F.transform(lines, lambda line: F.length(line) >= LONG_LINE), lambda long: starts(h, long)))
 
 
+def _span(first: Column, n_lines: Column) -> Column:
+    return first.cast("long") * SPAN + n_lines
+
+
 def _spans(lines: Column) -> Column:
-    """The chunks of a text, as (first, n_lines)."""
+    """The chunks of a text, as spans."""
     def between(s: Column) -> Column:
-        return F.transform(s, lambda first, j: F.struct(first.alias("first"), (F.coalesce(F.get(s, j + 1), F.size(lines)) - first).alias("n_lines")))
+        return F.transform(s, lambda first, j: _span(first, F.coalesce(F.get(s, j + 1), F.size(lines)) - first))
 
     return let(chunk_starts(lines), between)
 
 
-def heavy_runs(lines: Column, mixed: bool = False) -> Column:
-    """(first, n_lines) of the runs that hold over `MASS` words: one from each line with a word, if it gets there.
+def heavy_runs(lines: Column, mixed: bool = True) -> Column:
+    """The spans of the runs that hold over `MASS` words: one each way from each line with a word, if it gets there.
 
-    Runs are of short lines and go forwards; `mixed` ones are of any lines and go both ways.
+    Without `mixed`, runs are of short lines only and go forwards.
     """
     too_many = 1_000_000  # what a long line counts, so that no run goes through it unless mixed
 
@@ -75,14 +81,14 @@ def heavy_runs(lines: Column, mixed: bool = False) -> Column:
             ended = F.transform(filled, lambda line, j: F.struct(line["at"].alias("from"), j.alias("j"), run(j).alias("run")))
             heavy = F.filter(ended, lambda e: (e["run"]["words"] > MASS) & (F.lit(mixed) | (e["run"]["words"] < too_many)))
             to = lambda e: F.get(filled, e["j"] + e["run"]["n"] - 1)["at"]
-            return F.transform(heavy, lambda e: F.struct(F.least(e["from"], to(e)).alias("first"), (F.abs(to(e) - e["from"]) + 1).alias("n_lines")))
+            return F.transform(heavy, lambda e: _span(F.least(e["from"], to(e)), F.abs(to(e) - e["from"]) + 1))
 
         return let(F.transform(filled, lambda line: line["words"]), of)
 
     short = lambda line: F.regexp_count(line, F.lit(WORD))
     weight = short if mixed else lambda line: F.when(F.length(line) >= LONG_LINE, too_many).otherwise(short(line))
     counted = F.transform(lines, lambda line, at: F.struct(at.alias("at"), weight(line).alias("words")))
-    both_ways = lambda filled: F.array_union(runs(filled), runs(F.reverse(filled)))
+    both_ways = lambda filled: F.array_union(runs(filled), let(F.reverse(filled), runs))
     return let(F.filter(counted, lambda line: line["words"] > 0), both_ways if mixed else runs)
 
 
@@ -90,15 +96,16 @@ def _body(lines: Column, span: Column) -> Column:
     return F.array_join(F.slice(lines, span["first"] + 1, span["n_lines"]), "\n")
 
 
-def chunks(docs: DataFrame, mixed: bool = False) -> DataFrame:
+def chunks(docs: DataFrame, mixed: bool = True) -> DataFrame:
     """(doc_id, version, first, n_lines, hash): every chunk and run that may be removed, of rows (doc_id, version, text)."""
     lined = docs.select("doc_id", "version", F.split("text", "\n").alias("lines"))
     may = lambda n, body: ((n > 1) | (F.length(body) >= LONG_LINE) | (F.regexp_count(body, F.lit(WORD)) > MASS)) & (F.trim(F.translate(body, "\n\t\r", "   ")) != "")
 
     def cut(lines: Column) -> Column:
         spans = F.array_union(_spans(lines), heavy_runs(lines, mixed))
+        parted = F.transform(spans, lambda s: F.struct(F.call_function("shiftright", s, F.lit(31)).cast("int").alias("first"), s.bitwiseAND(F.lit(SPAN - 1)).cast("int").alias("n_lines")))
         hashed = lambda s: let(_body(lines, s), lambda body: F.when(may(s["n_lines"], body), F.xxhash64(body)))
-        return F.transform(spans, lambda s: F.struct(s["first"].alias("first"), s["n_lines"].alias("n_lines"), hashed(s).alias("hash")))
+        return F.transform(parted, lambda s: F.struct(s["first"].alias("first"), s["n_lines"].alias("n_lines"), hashed(s).alias("hash")))
 
     flat = lined.select("doc_id", "version", F.explode(let(F.col("lines"), cut)).alias("c")).select("doc_id", "version", "c.*")
     return flat.where("hash IS NOT NULL")
@@ -110,7 +117,7 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.withColumn("version", F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.col("doc_id").isNull(), "text"))
 
 
-def repeated_chunks(rows: DataFrame, mixed: bool = False) -> DataFrame:
+def repeated_chunks(rows: DataFrame, mixed: bool = True) -> DataFrame:
     """(version, first, n_lines): the chunks to remove, all but the first of each and what overlaps it.
 
     Occurrences are aggregated by hash before the shuffle; only chunks whose
@@ -129,13 +136,13 @@ def repeated_chunks(rows: DataFrame, mixed: bool = False) -> DataFrame:
     return again.select("place.version", "place.first", "n_lines").distinct()
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mixed: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mixed: bool = True) -> DataFrame:
     """Per row of `docs`: doc_id, text without repeated chunks, n_lines, removed (the numbers of removed lines, ascending).
 
     Null and empty texts come back empty, with one empty line. Rows alike in id
     and text are one document and lose nothing to each other. Null ids come first.
-    With `mixed`, as in the query, every repeated passage of over `MASS` words goes
-    whole; without, a short line beside a long one stays.
+    Every repeated passage of over `MASS` words goes whole, in time that grows with the
+    lines of a text, however many; without `mixed`, a short line beside a long one stays.
     """
     rows = _rows(docs, id_col, text_col)
     gone = repeated_chunks(rows, mixed).select("version", F.sequence(F.col("first"), F.col("first") + F.col("n_lines") - 1).alias("numbers"))
