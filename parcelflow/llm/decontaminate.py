@@ -10,6 +10,9 @@ most one bit, so a window meets every item of its size within
 missed: a chance of 5e-7 at the similarity threshold). What meets is verified
 by the exact similarity of the shingles with their counts as weights, the sum
 of the smaller counts over the sum of the larger.
+
+An item of fewer words than a shingle has none; it is found where its words stand
+in a document as they are, in its order.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ BLOCKS, BLOCK_BITS = 16, 8
 BROADCAST_SHINGLES = 1_000_000
 #: Rows of the index of items that are broadcast: 40 MB at most.
 BROADCAST_INDEX = 1_000_000
+#: Items of fewer than `WIDTH` words that are broadcast.
+BROADCAST_ITEMS = 200_000
 
 
 def normal_words(text: Column) -> Column:
@@ -71,12 +76,37 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """(doc_id, item_id, similarity, start, n_words): a row per document and item found in it, at its best window.
 
     `start` counts words from 0. A document shorter than the item is one
-    window. Null, empty and short texts (below `WIDTH` words) hold nothing and
-    are found in nothing. Repeated rows count once. Null ids pass through.
+    window. Texts without words hold nothing and are found in nothing; items of
+    fewer than `WIDTH` words are found word by word, at their first place. Repeated
+    rows count once. Null ids pass through. An empty table gives no rows.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
     texts = texts.withColumn("version", F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.col("doc_id").isNull(), "text"))
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), normal_words(F.col("text")).alias("w")).where(F.size("w") >= WIDTH).distinct()
+    every = benchmark.select(F.col("item_id").cast("long").alias("item_id"), normal_words(F.col("text")).alias("w")).where(F.size("w") > 0).distinct()
+    return _similar(texts, every.where(F.size("w") >= WIDTH), threshold).unionByName(_brief(texts, every.where(F.size("w") < WIDTH)))
+
+
+def _brief(texts: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of `contaminated` for items of fewer than `WIDTH` words, met by their words as they are."""
+    items = stored(items.select("item_id", F.size("w").alias("n"), F.array_join("w", " ").alias("words")), "brief")
+    lengths = [row.n for row in items.select("n").distinct().collect()]  # WIDTH - 1 of them at most
+    if not lengths:
+        return texts.sparkSession.createDataFrame([], "doc_id long, item_id long, similarity double, start long, n_words long")
+
+    def runs(w: Column) -> Column:
+        of = lambda n: F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(0), F.size(w) - n), lambda i: F.struct(i.alias("start"), F.concat_ws(" ", *[F.get(w, i + k) for k in range(n)]).alias("words"))))
+        empty = F.array().cast("array<struct<start:int,words:string>>")
+        return F.concat(empty, *[F.coalesce(of(n), empty) for n in sorted(lengths)])
+
+    small = items.limit(BROADCAST_ITEMS + 1).count() <= BROADCAST_ITEMS
+    seen = texts.select("doc_id", F.explode(let(normal_words(F.col("text")), runs)).alias("r")).select("doc_id", "r.*")
+    met = seen.join(F.broadcast(items) if small else items, "words")
+    found = met.groupBy("doc_id", "item_id").agg(F.min(F.struct("start", "n")).alias("best"))
+    return found.select("doc_id", "item_id", F.lit(1.0).alias("similarity"), F.col("best.start").cast("long").alias("start"), F.col("best.n").cast("long").alias("n_words"))
+
+
+def _similar(texts: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
+    """The rows of `contaminated` for items that have shingles."""
     items = stored(items.select(
         F.xxhash64(F.coalesce("item_id", F.lit(-1)), F.col("item_id").isNull(), "w").alias("item"), "item_id", F.size("w").alias("length"), shingles(F.col("w")).alias("theirs")
     ), "items")
@@ -113,6 +143,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of `docs` whose id is not found with any item; null ids are judged as one document."""
-    found = contaminated(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, docs[id_col].eqNullSafe(found["_found"]), "left_anti")
+    """Rows of `docs` whose id is not found with any item, with all their columns.
+
+    Rows that share an id stay or go together; rows without an id are judged one by
+    one. Null and empty texts stay. Repeated rows are kept as often as they stand. An empty benchmark keeps all.
+    """
+    named, nameless = docs.where(F.col(id_col).isNotNull()), docs.where(F.col(id_col).isNull())
+    found = contaminated(named, benchmark, id_col, text_col).select(F.col("doc_id").alias("_found")).distinct()
+    clean = named.join(found, named[id_col].cast("long") == found["_found"], "left_anti")
+    # Rows without an id are known by their text; its hash is an id of its own.
+    own = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    texts = nameless.select(own.alias("own"), F.col(text_col).alias("text"))
+    gone = contaminated(texts, benchmark, "own", "text").select(F.col("doc_id").alias("_found")).distinct()
+    return clean.unionByName(nameless.join(gone, own == gone["_found"], "left_anti"))
