@@ -50,7 +50,7 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
-    return judged.drop("stratum", "n_lines")
+    return judged.drop("own", "stratum", "n_lines")
 
 
 def op11_cross_tokenizer(spark: SparkSession, folder: str) -> DataFrame:
