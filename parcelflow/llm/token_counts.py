@@ -72,8 +72,9 @@ def at_limits(histogram: DataFrame, limits: DataFrame) -> DataFrame:
     )
     total = histogram.agg(F.max("docs_at_least").alias("docs"), F.max("tokens_at_least").alias("tokens"))
     # Distinct lengths and limits only: as many rows as the longest document has tokens, at most.
-    after = Window.orderBy(F.col("at"), F.col("limit").isNull()).rowsBetween(0, Window.unboundedFollowing)
-    fill = lambda c: F.coalesce(F.first(c, ignorenulls=True).over(after), F.lit(0))
+    # From the longest down, so that each row adds to what the one before has seen.
+    after = Window.orderBy(F.col("at").desc(), F.col("limit").isNull().desc()).rowsBetween(Window.unboundedPreceding, 0)
+    fill = lambda c: F.coalesce(F.last(c, ignorenulls=True).over(after), F.lit(0))
     cut = merged.select("limit", fill("docs_at_least").alias("docs_cut"), fill("tokens_at_least").alias("long_tokens")).where("limit IS NOT NULL")
     kept: Column = F.col("tokens") - F.col("long_tokens") + F.col("docs_cut") * F.col("limit")
     return cut.join(F.broadcast(total)).select("limit", (F.col("docs") - F.col("docs_cut")).alias("docs_whole"), "docs_cut", kept.alias("tokens_within"))

@@ -151,7 +151,8 @@ def test_signature_distance_follows_similarity():
     assert (one != two).sum() <= 15
 
 
-def test_line_dedup_against_brute_force(spark):
+@pytest.mark.parametrize("mixed", [False, True])
+def test_line_dedup_against_brute_force(spark, mixed):
     """Chunks and runs found by plain Python; boundaries by hash are the operator's own."""
     import random
 
@@ -177,10 +178,15 @@ def test_line_dedup_against_brute_force(spark):
         spans = {(a, b) for a, b in zip(starts[d], [*starts[d][1:], len(lines)])}
         for a in range(len(lines)):
             words, b = 0, a
-            while lines[a].split() and b < len(lines) and words <= L.MASS and len(lines[b]) < L.LONG_LINE:
+            while lines[a].split() and b < len(lines) and words <= L.MASS and (mixed or len(lines[b]) < L.LONG_LINE):
                 words, b = words + len(lines[b].split()), b + 1
             if words > L.MASS:
                 spans.add((a, b))
+            words, b = 0, a + 1
+            while mixed and lines[a].split() and b and words <= L.MASS:
+                words, b = words + len(lines[b - 1].split()), b - 1
+            if words > L.MASS:
+                spans.add((b, a + 1))
         for a, b in spans:
             body = "\n".join(lines[a:b])
             if body.strip() and (b - a > 1 or len(body) >= L.LONG_LINE or len(body.split()) > L.MASS):
@@ -191,7 +197,7 @@ def test_line_dedup_against_brute_force(spark):
         for d, a, b in others:
             if d != first[0] or a >= first[2]:
                 gone[d].update(range(a, b))
-    rows = {r.doc_id: r for r in L.dedup_lines(docs).collect()}
+    rows = {r.doc_id: r for r in L.dedup_lines(docs, mixed=mixed).collect()}
     assert {d: set(r.removed) for d, r in rows.items()} == gone
     for d, r in rows.items():
         assert r.text == "\n".join(x for k, x in enumerate(texts[d].split("\n")) if k not in gone[d])
