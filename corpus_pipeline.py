@@ -19,10 +19,14 @@ def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep; of rows that share an id, all or none (all must be kept)."""
+    """Documents that the quality rules keep; of rows that share an id, all or none (all must be kept).
+
+    Rows without an id are judged one by one, by their text. Null and blank texts go.
+    """
     judged = quality_rules.judge(docs, table(spark, sf_dir, "labels"))
-    rejected = judged.where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["_gone"]), "left_anti")
+    rejected = judged.where("NOT kept").select(F.col("doc_id").alias("_gone"), F.col("own").alias("_own")).distinct()
+    same = F.col("doc_id").eqNullSafe(rejected["_gone"]) & quality_rules.own_id().eqNullSafe(rejected["_own"])
+    return docs.join(rejected, same, "left_anti")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,17 +37,27 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item is found."""
+    """Documents in which no benchmark item is found; rows that share an id go together, those without one go one by one.
+
+    Null and empty texts and repeated rows stay.
+    """
     return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources mixed to their weights; a document stands as often as it is taken."""
+    """Sources mixed to their weights; a document stands as often as it is taken.
+
+    Texts without words have no size and are drawn like others, at no cost. A null source is one of its own.
+    Rows alike in id and text are taken together.
+    """
     return mixing.mix(docs, table(spark, sf_dir, "labels"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of the mix, and per document what they hold."""
+    """Token files of the mix, and per document what they hold.
+
+    A null or empty text holds its end id alone. Null ids come first; rows that share an id follow one another in the order of their texts.
+    """
     return token_files.token_files(docs)
 
 
