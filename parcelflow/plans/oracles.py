@@ -228,6 +228,10 @@ ORACLES = {
         WITH {EVENTS}, {FIRED} SELECT messageid, rule_id, channel,
           CASE WHEN channel = 'MQTT' THEN 'EXCEPTION_broker away' ELSE action || ' ' || target || ' ' || path END AS result FROM box""",
     "enrich_cached": "SELECT event_id, 'http://users/' || user_id || '?' || event_type AS answer FROM events",
+    "enrich_stream": """
+        SELECT 'http://users/' || user_id || '?' || event_type AS answer, CAST(count(*) AS BIGINT) AS events,
+          CAST(sum(event_id) AS BIGINT) AS event_ids, CAST(1 AS BIGINT) AS calls
+        FROM events GROUP BY 1""",
     "write_errors": f"WITH {EVENTS} SELECT stage, topic, count(*) AS messages FROM s WHERE stage IS NOT NULL GROUP BY 1, 2",
     "error_requests": f"""
         WITH {EVENTS} SELECT 'ES' AS channel, 'http://index' AS uri, 'exceptions' AS path, exception,

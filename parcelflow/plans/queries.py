@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -12,7 +13,7 @@ from ..schemas import ENVELOPE, ENVELOPE_AVRO, REMOTE_REQUEST
 from ..session import configure, shared_folder
 from ..sinks import files, tables, topics
 from ..sources import messages as source, rules as rule_source
-from ..streaming import run
+from ..streaming import enrich, run
 from . import jobs
 from .message_tables import TOPICS, conversation_messages, customer_messages, document_messages, event_message_rows, event_messages, table
 
@@ -492,6 +493,29 @@ def enrich_cached(spark, folder):
     return answered.select("event_id", "answer")
 
 
+@query
+def enrich_stream(spark, folder):
+    """The look-ups of a stream from keyed state, stopped after its first half and started again: one call per request.
+
+    Every call marks its answer, so the marks of a request are its calls.
+    """
+    def look_up(request: dict) -> str:
+        return f"{request['url']}?{request['attr']['path']}#{uuid.uuid4().hex}"
+
+    root, events = shared_folder(spark, "enriched"), table(spark, folder, "events").select("event_id", "user_id", "event_type")
+    for half in (0, 1):
+        events.where(F.pmod("event_id", F.lit(2)) == half).write.mode("append").parquet(f"{root}/in")
+        answered = enrich.enrich_stream(
+            spark.readStream.schema(events.schema).parquet(f"{root}/in"), look_up, F.concat(F.lit("http://users/"), F.col("user_id")),
+            F.lit(None).cast("string"), F.create_map(F.lit("path"), F.col("event_type")),
+        )
+        writer = answered.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+        enrich.start_keyed(spark, lambda: writer.start(f"{root}/out", format="parquet")).awaitTermination()  # noqa: B023
+    marked = spark.read.schema(answered.schema).parquet(f"{root}/out").withColumn("answer", F.split("answer", "#"))
+    return marked.groupBy(F.col("answer")[0].alias("answer")).agg(
+        F.count(F.lit(1)).alias("events"), F.sum("event_id").cast("long").alias("event_ids"), F.count_distinct(F.col("answer")[1]).alias("calls"))
+
+
 @query
 def write_errors(spark, folder):
     letters = outcome.dead_letters(_standardised(spark, folder))
