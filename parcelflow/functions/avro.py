@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import sys
+from collections.abc import Callable, Sequence
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -106,40 +107,84 @@ def read_number(data: bytes, at: int) -> tuple[int, int]:
             return (number >> 1) ^ -(number & 1), at
 
 
-def read_value(data: bytes, at: int, avro: object) -> tuple[object, int]:
-    """The value starting at `at` and where the next one starts."""
+Reader = Callable[[bytes, int], tuple[object, int]]
+
+
+def _read_text(data: bytes, at: int) -> tuple[str, int]:
+    size = data[at]
+    if size < 128:
+        size, at = (size >> 1) ^ -(size & 1), at + 1
+    else:
+        size, at = read_number(data, at)
+    end = at + size
+    if size < 0 or end > len(data):
+        raise ValueError("text runs past the end")
+    return data[at:end].decode("utf-8"), end
+
+
+def reader(avro: object) -> Reader:
+    """Reads the value starting at a place; gives it and where the next one starts. A record is a tuple of its fields.
+
+    The schema is walked once, here, and not for every value.
+    """
     if isinstance(avro, list):
-        branch, at = read_number(data, at)
-        return (None, at) if avro[branch] == "null" else read_value(data, at, avro[branch])
+        branches = [None if b == "null" else reader(b) for b in avro]
+
+        def read_union(data: bytes, at: int) -> tuple[object, int]:
+            branch, at = read_number(data, at)
+            read = branches[branch]
+            return (None, at) if read is None else read(data, at)
+
+        return read_union
     if avro == "string":
-        size, at = read_number(data, at)
-        if size < 0 or at + size > len(data):
-            raise ValueError("text runs past the end")
-        return data[at:at + size].decode("utf-8"), at + size
+        return _read_text
     if avro == "int":
-        return read_number(data, at)
+        return read_number
     if avro["type"] == "enum":
-        number, at = read_number(data, at)
-        return avro["symbols"][number], at
-    record = {}
-    for field in avro["fields"]:
-        record[field["name"]], at = read_value(data, at, field["type"])
-    return record, at
+        symbols = avro["symbols"]
+
+        def read_symbol(data: bytes, at: int) -> tuple[str, int]:
+            number, at = read_number(data, at)
+            return symbols[number], at
+
+        return read_symbol
+    fields = [reader(f["type"]) for f in avro["fields"]]
+
+    def read_record(data: bytes, at: int) -> tuple[tuple, int]:
+        values = []
+        for read in fields:
+            value, at = read(data, at)
+            values.append(value)
+        return tuple(values), at
+
+    return read_record
+
+
+def _column(values: Sequence, arrow: pa.DataType) -> pa.Array:
+    """Values as an Arrow column; records, as tuples, field by field."""
+    if not pa.types.is_struct(arrow):
+        return pa.array(values, type=arrow)
+    absent = [value is None for value in values]
+    nothing = (None,) * arrow.num_fields
+    parts = zip(*[nothing if value is None else value for value in values]) if values else [()] * arrow.num_fields
+    fields = list(arrow)
+    columns = [_column(part, field.type) for part, field in zip(parts, fields, strict=True)]
+    return pa.StructArray.from_arrays(columns, fields=fields, mask=pa.array(absent, type=pa.bool_()))
 
 
 def decoder(schema_json: str):
     """Arrow function from binary to struct; bytes that do not fit the schema give NULL."""
     avro = json.loads(schema_json)
-    arrow = _arrow_type(avro)
+    arrow, read = _arrow_type(avro), reader(avro)
 
     @F.arrow_udf(struct_type(avro))
     def decode(values: pa.Array) -> pa.Array:
         rows = []
         for data in values.to_pylist():
             try:
-                rows.append(None if data is None else read_value(data, 0, avro)[0])
+                rows.append(None if data is None else read(data, 0)[0])
             except (IndexError, ValueError):
                 rows.append(None)
-        return pa.array(rows, type=arrow)
+        return _column(rows, arrow)
 
     return decode

@@ -128,7 +128,8 @@ def standardise(
     shape = _case(routes, lambda r: f"'{r.shape}'")
     default_source = _case(routes, lambda r: f"'{r.default_source}'")
 
-    outer = route(parsed, routes, subscription).selectExpr(
+    # What comes before, parsing at least, is a stage of its own: see `evaluated_once` on the size of generated code.
+    outer = route(evaluated_once(parsed), routes, subscription).selectExpr(
         "*", f"{shape} AS shape", f"{J.members('msg', _OUTER)} AS outer"
     )
     read = envelope_defaults(

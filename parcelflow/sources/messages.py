@@ -31,14 +31,16 @@ def read_messages(
     return reader.schema(MESSAGE).options(**options).parquet(path).where(F.col("topic").isin(names))
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, per_core: int = 1) -> DataFrame:
     """Input in fewer splits than there are cores, spread over all of them.
 
     Parsing costs far more per row than moving it, so a batch of a few small
     files is worth one shuffle of its raw rows. Input with enough splits, the
-    usual case, is returned as it is.
+    usual case, is returned as it is. Splits need not hold equal shares of the
+    rows (a file's row groups stay whole): for narrow rows, `per_core` asks for
+    so many parts per core.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+    parts = df.sparkSession.sparkContext.defaultParallelism * per_core
+    if df.isStreaming or df.rdd.getNumPartitions() >= parts:
         return df
-    return df.repartition(cores)
+    return df.repartition(parts)

@@ -1,13 +1,19 @@
 """Avro, requests, delivery, cached look-ups and sinks."""
 
+import contextlib
+import io
 import json
 import os
+import re
+import uuid
 
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from parcelflow.functions import avro as A
 from parcelflow.operators import avro, outbox as O, outcome, parse as P, standardise as S
+from parcelflow.plans.queries import QUERIES
 from parcelflow.schemas import ENVELOPE, ENVELOPE_AVRO, MESSAGE, REMOTE_REQUEST, REMOTE_REQUEST_AVRO
 from parcelflow.sinks import files, tables, topics
 
@@ -238,3 +244,63 @@ def test_requests_with_a_result_are_not_sent_again(spark, tmp_path):
     assert results() == sorted([*mine, ("1", "other batch", "6", "x"), ("1", "other run", "5", "y")])
     with pytest.raises(ValueError, match="named by"):
         O.deliver_once(requests(one), lambda r: "", path, 5, run="a/b")
+
+
+def test_avro_columns_equal_values_read_one_by_one():
+    """Records of records, with nulls and damaged bytes between them, in one batch and in none."""
+    schema = json.loads(ENVELOPE_AVRO)
+    text = lambda s: bytes([2 * len(s)]) + s.encode()
+    request = b"\x02" + b"".join(map(text, ("/p", "POST"))) + b"\x05" + b"".join(map(text, ("", "t", "d", "h")))
+    long = bytes([0x80 | (400 & 127), 400 >> 7]) + b"x" * 200
+    whole = text("id") + text("src") + b"\x02" + long + request + text("now") + text("T")
+    bare = text("id") + text("src") + b"\x00" + b"\x00" + text("now") + text("T")
+    read = A.reader(schema)
+    first = ("id", "src", "x" * 200, ("/p", "POST", -3, "", "t", "d", "h"), "now", "T")
+    assert read(whole, 0) == (first, len(whole)) and read(bare, 0)[0] == ("id", "src", None, None, "now", "T")
+    named = [dict(zip([f["name"] for f in schema["fields"]], row, strict=True)) for row in (first, read(bare, 0)[0])]
+    named[0]["registrypayload"] = dict(zip(("path", "verb", "statusCode", "payload", "txId", "deviceId", "header"), first[3], strict=True))
+    arrow = A._arrow_type(schema)
+    assert A._column([first, None, read(bare, 0)[0]], arrow).to_pylist() == [named[0], None, named[1]]
+    assert A._column([], arrow).to_pylist() == [] and A._column([None], arrow).to_pylist() == [None]
+    for cut in (1, 5, len(whole) - 1):
+        with pytest.raises((IndexError, ValueError)):
+            read(whole[:cut], 0)
+
+
+def test_generated_code_of_standardise_is_small_enough_to_be_compiled(spark, folder):
+    """The JVM runs methods above 8000 bytes uncompiled."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    text = io.StringIO()
+    try:
+        with contextlib.redirect_stdout(text):
+            QUERIES["standardise"](spark, folder).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text.getvalue())]
+    assert sizes and max(sizes) < 8000
+
+
+def test_requests_are_told_apart_without_sorting_what_is_read(spark, tmp_path, monkeypatch):
+    """Repeated requests go by hash before any sort; a map counts regardless of its order."""
+    frame = spark.createDataFrame([(1, "u", {"a": "1", "b": "2"}), (2, "u", {"b": "2", "a": "1"}), (3, None, None), (4, None, None), (5, "u", {})], "id int, url string, attr map<string,string>")
+    plans = []
+    calls = str(tmp_path / "calls")
+
+    def look_up(request):
+        os.makedirs(calls, exist_ok=True)
+        open(f"{calls}/{uuid.uuid4().hex}", "w").close()
+        return f"{request['url']} {sorted(request['attr'].items())}"
+
+    original = type(frame).mapInPandas
+
+    def watched(self, *args, **kwargs):
+        plans.append(plan_of(self))
+        return original(self, *args, **kwargs)
+
+    monkeypatch.setattr(type(frame), "mapInPandas", watched)
+    got = O.enrich_cached(frame, look_up, F.col("url"), F.lit(None).cast("string"), F.col("attr"), str(tmp_path / "cache"))
+    answers = {r.id: r.answer for r in got.collect()}
+    assert answers[1] == answers[2] == "u [('a', '1'), ('b', '2')]" and answers[3] == answers[4] == "None []" and answers[5] == "u []"
+    assert len(os.listdir(calls)) == 3
+    tree = plans[0].split("\n\n")[0]
+    assert "HashAggregate" in tree and tree.rindex("HashAggregate") > tree.rindex("Sort")
