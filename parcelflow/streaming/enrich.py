@@ -41,7 +41,8 @@ class _Answers(StatefulProcessor):
         return answer
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        known = self.kept.get() if self.kept.exists() else None
+        # None where there is none: asking `exists` first would be a second call to the store for each request.
+        known = self.kept.get()
         answer, asked = (known[0], True) if known is not None else (None, False)
         for row in rows:
             if not asked:
