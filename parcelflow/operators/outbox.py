@@ -200,8 +200,9 @@ def enrich_cached(
     clock = now if now is not None else F.current_timestamp()
     now = F.timestamp_micros(F.lit(df.sparkSession.range(1).select(F.unix_micros(clock)).first()[0]))
     asked = df.withColumn("request", request_hash(request_key(url, data, attr)))
-    distinct = asked.select("request", url.alias("url"), data.alias("data"), F.map_entries(attr).alias("attr")) \
-        .groupBy("request").agg(F.first("url").alias("url"), F.first("data").alias("data"), F.first("attr").alias("attr"))
+    # Repeats go by hash, where `first` of a text would sort every row that a task reads; `first` then meets the distinct ones.
+    several = asked.select("request", url.alias("url"), data.alias("data"), F.array_sort(F.map_entries(attr)).alias("attr")).distinct()
+    distinct = several.groupBy("request").agg(F.first("url").alias("url"), F.first("data").alias("data"), F.first("attr").alias("attr"))
     kept = _recent(df.sparkSession, cache, now, ttl).where("ok").select("request").distinct()
     missing = distinct.join(kept, "request", "left_anti")
     if partitions:
