@@ -227,3 +227,16 @@ def test_patterns_over_very_long_locations(spark):
     found = {r.sourceid: r.file_uri for r in R.lookup_rule_uri(spark.createDataFrame([(p,) for p in patterns], "sourceid string"), places).collect()}
     like = lambda p: [k for k, x in enumerate(long) if re.fullmatch(p.replace("%", ".*").replace("_", "."), x)]
     assert found == {p: f"u{max(like(p))}" if like(p) else None for p in patterns}
+
+
+def test_a_table_repeated_per_salt_is_not_broadcast(spark):
+    """Its copies are not in the planner's estimate; the rows are those of the plain join, keys that are null included."""
+    from conftest import plan_of
+
+    from parcelflow.operators.lookup import left_lookup
+
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "c")], "id int, k string")
+    table = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, v int")
+    met = left_lookup(rows, table, ["k"], rows=1)
+    assert "BroadcastHashJoin" not in plan_of(met)
+    assert sorted((r.id, r.v) for r in met.collect()) == [(1, 1), (2, 2), (3, None), (4, None)]
