@@ -17,8 +17,13 @@ share of it lies in the other's prefix too, so they share a combination. The
 numbers of groups depend on the set's size, by powers of two; a set near a
 power is indexed for both.
 
-What shares a key is verified on the full sets: every set against one pivot of
-its key, then by the triangle inequality, as links are confirmed for MinHash
+A key of few sets gives all its pairs, and each pair is first held against
+bitmaps: bit ``token mod size`` of a set's bitmap is the parity of its tokens
+there. A bit that differs in two bitmaps needs a token that only one of the sets
+has, so more differing bits than a linked pair may have different tokens rule a
+link out, and no link is lost. The pairs that remain are verified on the full
+sets. A key of more sets is verified there too: every set against one pivot of
+the key, then by the triangle inequality, as links are confirmed for MinHash
 keys.
 """
 
@@ -43,6 +48,8 @@ SLOT_BITS, CHUNKS = 22, 64
 SLOTS = 1 << SLOT_BITS
 #: Most tokens a combination has.
 MOST = 3
+#: Keys of up to so many sets give all their pairs, 3.5 a set at most; sets of larger keys are compared with pivots.
+FEW = 8
 #: Rounds of comparison with a pivot before keys are joined.
 ROUNDS = 2
 #: Texts in the verification whose ids and digests are broadcast to the scan; more are joined by shuffle.
@@ -174,14 +181,41 @@ def _combinations(tokens: np.ndarray, group: np.ndarray, size: int, scheme: int)
     return value
 
 
+def bitmap(tokens: np.ndarray) -> np.ndarray:
+    """The parities of a set's tokens modulo the bitmap's size, in words of 64 bits; the size is the power of two from the number of tokens on."""
+    size = max(64, 1 << (len(tokens) - 1).bit_length())
+    held = np.bincount((tokens & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(held.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _near(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that a link is possible for by the bitmaps `maps` (id, n, bits). An id may have several."""
+    x, y = (maps.select(F.col("id").alias(i), F.col("n").alias(f"n_{i}"), F.col("bits").alias(f"bits_{i}")) for i in "ab")
+    met = pairs.join(x, "a").where("n_a > 0").join(y, "b").where(f"n_b > 0 AND {percent} * greatest(n_a, n_b) <= 100 * least(n_a, n_b)")
+
+    def folded(one: str, other: str) -> F.Column:
+        # Sizes of linked sets differ by a factor of two at most, so their bitmaps do.
+        half = F.expr(f"size({one}) div 2")
+        halves = F.zip_with(F.slice(one, F.lit(1), half), F.slice(one, half + 1, half), lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(one) > F.size(other), halves).otherwise(F.col(one))
+
+    bits = F.zip_with(folded("bits_a", "bits_b"), folded("bits_b", "bits_a"), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    differ = F.aggregate(bits, F.lit(0), lambda total, n: total + n)
+    # A linked pair shares `percent` of `100 + percent` parts of both sizes at least.
+    most = F.expr(f"n_a + n_b - 2 * (({percent} * (n_a + n_b) + {99 + percent}) div {100 + percent})")
+    return met.where(differ <= most).select("a", "b").distinct()
+
+
 def _indexed(table: np.ndarray, classes: Classes, width: int):
-    """Per text its keys for all schemes."""
+    """Per text its keys for all schemes, its number of tokens and its bitmap."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, groups = WordHashes(), {}
         for batch in slices(batches, "text"):
-            found = []
+            found, sizes, maps = [], [], []
             for text in batch.column("text").to_pylist():
                 tokens, keys = shingles(text, hashes, width), []
+                sizes.append(len(tokens))
+                maps.append(bitmap(tokens) if len(tokens) else None)
                 if len(tokens):
                     counts = table[_slot(tokens)]
                     order = np.lexsort((tokens, counts))
@@ -191,7 +225,8 @@ def _indexed(table: np.ndarray, classes: Classes, width: int):
                             groups[scheme] = classes.groups(scheme)
                         keys.append(classes.keys(tokens, counts, scheme, groups[scheme]))
                 found.append(np.unique(np.concatenate(keys)).view(np.int64) if keys else None)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.list_(pa.int64()))], ["id", "keys"])
+            lists = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, lists), pa.array(sizes, pa.int64()), pa.array(maps, lists)], ["id", "keys", "n", "bits"])
 
     return run
 
@@ -263,7 +298,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     table = slot_counts(seen.where("chunk IS NOT NULL").select("chunk", "counts"))
     classes = Classes.of(table, nodes.count(), percent)
-    keys = stored(rows.mapInArrow(_indexed(table, classes, width), "id long, keys array<long>").where("keys IS NOT NULL"), "prefixes")
+    keys = stored(rows.mapInArrow(_indexed(table, classes, width), "id long, keys array<long>, n long, bits array<long>").where("keys IS NOT NULL"), "prefixes")
     held = keys.select("id", F.explode("keys").alias("key"))
     # Counted before the shuffle; written, so that the join below may split a key that very many sets have.
     crowded = stored(held.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "crowded")
@@ -273,9 +308,13 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.count("*").alias("c"), F.min("id").alias("a"), F.max("id").alias("b"), F.max("low").alias("large"), F.min("high").alias("small")
     ).where("c > 1")
     ends = stored(ends, "ends")
-    # A key of two sets is one comparison, and none when their sizes differ too much.
-    pairs = ends.where(f"c = 2 AND {percent} * large <= 100 * small").select("a", "b").distinct()
-    bucket = shared.join(ends.where("c > 2").select("key"), "key").select("key", "id").withColumn("label", F.col("id"))
+    # A key of two sets is one comparison, and none when their sizes differ too much; a key of few sets gives its pairs.
+    pairs = ends.where(f"c = 2 AND {percent} * large <= 100 * small").select("a", "b")
+    few = stored(shared.join(ends.where(f"c > 2 AND c <= {FEW}").select("key"), "key"), "few")
+    sized = f"x.key = y.key AND x.id < y.id AND {percent} * greatest(x.low, y.low) <= 100 * least(x.high, y.high)"
+    more = few.alias("x").join(few.alias("y"), F.expr(sized)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    pairs = _near(pairs.unionByName(more).distinct(), keys.select("id", "n", "bits"), percent)
+    bucket = shared.join(ends.where(f"c > {FEW}").select("key"), "key").select("key", "id").withColumn("label", F.col("id"))
     bucket, pairs = stored(bucket, "keys"), stored(pairs, "pairs")
     wanted = bucket.select("id").unionByName(pairs.select(F.col("a").alias("id"))).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     wanted = stored(wanted.join(nodes.select(F.col("top").alias("id"), "digest"), "id"), "wanted")

@@ -168,6 +168,48 @@ def test_prefixes_of_linked_sets_share_a_key():
             assert keys[0] & keys[1]
 
 
+def test_bitmaps_keep_every_linked_pair(spark):
+    rng, draw = np.random.default_rng(3), random.Random(5)
+    for percent in (50, 85, 100):
+        sets, pairs, linked = [], [], set()
+        for k in range(300):
+            x = np.unique(rng.integers(0, 2**63, draw.choice([1, 5, 63, 65, 100, 700, 3000]), dtype=np.uint64))
+            gone = draw.randint(0, len(x) * (100 - percent) // 100 + 1) if k % 3 else len(x) // 2
+            y = np.r_[rng.permutation(x)[: max(1, len(x) - gone)], rng.integers(0, 2**63, draw.choice([0, gone, 1]), dtype=np.uint64)]
+            sets += [(2 * k, x), (2 * k + 1, np.unique(y))]
+            both = len(np.intersect1d(x, y))
+            pairs.append((2 * k, 2 * k + 1))
+            if 100 * both >= percent * (len(x) + len(np.unique(y)) - both):
+                linked.add(pairs[-1])
+        maps = spark.createDataFrame([(i, len(s), ngram_join.bitmap(s).tolist()) for i, s in sets], "id long, n long, bits array<long>")
+        kept = {tuple(r) for r in ngram_join._near(spark.createDataFrame(pairs, "a long, b long"), maps, percent).collect()}
+        assert linked <= kept
+        assert len(kept) < len(pairs) - (percent > 50) * 20
+
+
+def test_shared_passages_do_not_make_texts_candidates(spark, monkeypatch):
+    # Three texts hold each passage, a third of each of them; links are only between the last texts.
+    draw = random.Random(6)
+    word = lambda: f"w{draw.randrange(10**6)}"
+    passages = [" ".join(word() for _ in range(60)) for _ in range(40)]
+    texts = [" ".join(word() for _ in range(120)) + " " + p for p in passages for _ in range(3)]
+    near = " ".join(word() for _ in range(200))
+    rows = list(enumerate([*texts, near, near + " end", near + " of it"]))
+    written, store = {}, ngram_join.stored
+
+    def counted(frame, purpose):
+        out = store(frame, purpose)
+        written[purpose] = max(written.get(purpose, 0), out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "stored", counted)
+    # As for very many texts, whose slots all hold about as many tokens.
+    monkeypatch.setattr(ngram_join, "slot_counts", lambda _: np.full(ngram_join.SLOTS, 30, np.uint32))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in ngram_join.ngram_join(docs).collect()) == classes_by_hand(rows)
+    assert written["shared"] > len(texts) and written["sets"] == 3
+
+
 def test_join_on_odd_rows(spark):
     long = " ".join(f"w{k % 7001}" for k in range(60_000))
     rows = [(1, "a b c d e"), (2, "A b c d e"), (2, "A b c d e"), (None, "a b c d e"), (3, None), (4, "one"), (5, "one"), (6, long), (7, long + " end"), (8, "x" * 50_000)]
