@@ -192,16 +192,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     keys = nodes.select("id", F.explode(chunk_keys()).alias("key"))
     crowded = keys.groupBy("key").agg(F.min("id").alias("_l"), F.max("id").alias("_h")).where("_l != _h")
-    bucket = stored(keys.join(crowded.select("key"), "key").distinct().withColumn("label", F.col("id")), "keys")
+    # The planner sizes keys by the classes' file, as if each had one key, and would broadcast all of them.
+    bucket = stored(keys.join(crowded.select("key").hint("merge"), "key").distinct().withColumn("label", F.col("id")), "keys")
     wanted = bucket.select("id").distinct().join(nodes.select("id", "digest"), "id")
     sets = stored(rows.join(wanted, "id").distinct().mapInArrow(_sets, "id long, items array<long>"), "sets")
     found = links
     for _ in range(ROUNDS):
         # The pivot is the text whose keys most others share: an original rather than one of its variants.
         crowd = bucket.groupBy("key").agg(F.count("*").alias("crowd"))
-        fame = bucket.join(crowd, "key").groupBy("id").agg(F.sum("crowd").alias("fame"))
-        pivots = bucket.join(fame, "id").groupBy("key").agg(F.max_by("id", F.struct("fame", F.bitwise_not("id"))).alias("a"))
-        against = bucket.select("key", "id").join(pivots, "key").where("id != a").select("a", F.col("id").alias("b"))
+        # A file of keys and ids that repeat is a small part of its rows' size.
+        fame = bucket.join(crowd.hint("merge"), "key").groupBy("id").agg(F.sum("crowd").alias("fame"))
+        pivots = bucket.join(fame.hint("merge"), "id").groupBy("key").agg(F.max_by("id", F.struct("fame", F.bitwise_not("id"))).alias("a"))
+        against = bucket.select("key", "id").join(pivots.hint("merge"), "key").where("id != a").select("a", F.col("id").alias("b"))
         judged = stored(_similar(against.distinct(), sets), "judged")
         found = found.unionByName(judged.where(100 * F.col("both") >= percent * F.col("either")).select("a", "b"))
         labels = stored(components(found), "labels")
