@@ -86,6 +86,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return _similar(texts, every.where(F.size("w") >= WIDTH), threshold).unionByName(_brief(texts, every.where(F.size("w") < WIDTH)))
 
 
+def _looked_up(side: DataFrame, small: bool) -> DataFrame:
+    """The side of a join, broadcast if it was counted as small, else never: the planner knows nothing of the rows an explode makes."""
+    return F.broadcast(side) if small else side.hint("merge")
+
+
 def _brief(texts: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of `contaminated` for items of fewer than `WIDTH` words, met by their words as they are."""
     items = stored(items.select("item_id", F.size("w").alias("n"), F.array_join("w", " ").alias("words")), "brief")
@@ -100,7 +105,7 @@ def _brief(texts: DataFrame, items: DataFrame) -> DataFrame:
 
     small = items.limit(BROADCAST_ITEMS + 1).count() <= BROADCAST_ITEMS
     seen = texts.select("doc_id", F.explode(let(normal_words(F.col("text")), runs)).alias("r")).select("doc_id", "r.*")
-    met = seen.join(F.broadcast(items) if small else items, "words")
+    met = seen.join(_looked_up(items, small), "words")
     found = met.groupBy("doc_id", "item_id").agg(F.min(F.struct("start", "n")).alias("best"))
     return found.select("doc_id", "item_id", F.lit(1.0).alias("similarity"), F.col("best.start").cast("long").alias("start"), F.col("best.n").cast("long").alias("n_words"))
 
@@ -117,7 +122,7 @@ def _similar(texts: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
         "version", F.size("w").alias("n"), F.posexplode(shingles(F.col("w"))).alias("p", "shingle")
     )
     start = F.greatest(F.lit(0), F.least(F.col("p") - F.col("q"), F.col("n") - F.col("length")))
-    hits = seen.join(F.broadcast(spots) if small else spots, "shingle").select("version", "length", start.alias("start")).distinct()
+    hits = seen.join(_looked_up(spots, small), "shingle").select("version", "length", start.alias("start")).distinct()
     # A document has no more windows than words and item sizes.
     wanted = hits.groupBy("version").agg(F.collect_list(F.struct("length", "start")).alias("windows"))
     cut = texts.join(wanted, "version").select("version", "doc_id", "windows", shingles(normal_words(F.col("text"))).alias("all"))
@@ -130,7 +135,7 @@ def _similar(texts: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
     index = index.select("item", "length", "block", F.explode(F.transform(flips, lambda f: F.col("own").bitwiseXOR(f))).alias("value"))
     # What is broadcast has a row of four numbers per item, block and value.
     few = items.limit(BROADCAST_INDEX // (BLOCKS * (BLOCK_BITS + 1)) + 1).count() * BLOCKS * (BLOCK_BITS + 1) <= BROADCAST_INDEX
-    met = marked.join(F.broadcast(index) if few else index, ["length", "block", "value"])
+    met = marked.join(_looked_up(index, few), ["length", "block", "value"])
     # Texts that share an id are judged apart, by their version; the best window of the id is taken last.
     met = met.groupBy("version", "doc_id", "start", "length", "item").agg(F.first("mine").alias("mine"))
     met = met.join(F.broadcast(items.drop("length")) if few and small else items.drop("length"), "item")

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from .common import slices
 
 #: Pieces a worker remembers, and the length in bytes up to which it remembers one.
-REMEMBER, LONGEST = 1_000_000, 200
+REMEMBER, LONGEST = 500_000, 200
 
 _MARK = "\x01"
 # Byte-level entries show a byte as a printable character: itself where it is one in Latin-1, else the next free one from 256 on.
@@ -212,7 +212,7 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+def text_slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """(batch, texts) with about `most` bytes of text each; null is empty."""
     for batch in slices(batches, column, most):
         yield batch, pc.fill_null(batch.column(column).cast(pa.large_string()), "")
